@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from wayframe.llm import bpe, packing, pii, toxicity
+from wayframe.llm import bpe, near_dedup, packing, pii, toxicity
 from wayframe.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_table(docs, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4, share=(80, 100))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"), mask=False)
 
@@ -35,5 +39,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_byte_bpe": op3_byte_bpe, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
+QUERIES = {"op1_packing": op1_packing, "op3_byte_bpe": op3_byte_bpe, "op6_near_dedup": op6_near_dedup, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
 ORACLE_SQL: dict[str, str] = {}
