@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from wayframe.llm import bpe, near_dedup, packing, pii, toxicity
+from wayframe.llm import bpe, near_dedup, packing, pii, substring_dedup, toxicity
 from wayframe.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, packing.word_encoder(tokenizer_file("word_bpe_49k.json")), end_id=2, emit_ids=False)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,5 +44,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_byte_bpe": op3_byte_bpe, "op6_near_dedup": op6_near_dedup, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
+QUERIES = {"op1_packing": op1_packing, "op2_substring_dedup": op2_substring_dedup, "op3_byte_bpe": op3_byte_bpe, "op6_near_dedup": op6_near_dedup, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
 ORACLE_SQL: dict[str, str] = {}
