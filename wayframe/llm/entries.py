@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from wayframe.llm import bpe, near_dedup, packing, pii, substring_dedup, toxicity
+from wayframe.llm import bpe, near_dedup, ngram_lm, packing, pii, substring_dedup, toxicity
 from wayframe.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4, share=(80, 100))
 
 
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"), order=2)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"), mask=False)
 
@@ -44,5 +48,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_substring_dedup": op2_substring_dedup, "op3_byte_bpe": op3_byte_bpe, "op6_near_dedup": op6_near_dedup, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
+QUERIES = {"op1_packing": op1_packing, "op2_substring_dedup": op2_substring_dedup, "op3_byte_bpe": op3_byte_bpe, "op6_near_dedup": op6_near_dedup, "op7_ngram_lm": op7_ngram_lm, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
 ORACLE_SQL: dict[str, str] = {}
