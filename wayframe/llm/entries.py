@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
-from wayframe.llm import bpe, near_dedup, ngram_lm, packing, pii, substring_dedup, toxicity
+from wayframe.llm import bpe, near_dedup, ngram_lm, packing, pii, substring_dedup, toxicity, vectors
 from wayframe.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_table(docs, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4, share=(80, 100))
 
@@ -40,6 +44,10 @@ def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(table(spark, sf_dir, "documents"), order=2)
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"), mask=False)
 
@@ -48,5 +56,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_substring_dedup": op2_substring_dedup, "op3_byte_bpe": op3_byte_bpe, "op6_near_dedup": op6_near_dedup, "op7_ngram_lm": op7_ngram_lm, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
+QUERIES = {"op1_packing": op1_packing, "op2_substring_dedup": op2_substring_dedup, "op3_byte_bpe": op3_byte_bpe, "op4_top_k": op4_top_k, "op6_near_dedup": op6_near_dedup, "op7_ngram_lm": op7_ngram_lm, "op8_embedding_dedup": op8_embedding_dedup, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
 ORACLE_SQL: dict[str, str] = {}
