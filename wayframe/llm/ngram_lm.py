@@ -121,7 +121,7 @@ def save(uri: str, array: np.ndarray) -> None:
     own = f"{uri}.{uuid.uuid4().hex}"
     system, path = _filesystem(own)
     system.create_dir(os.path.dirname(path), recursive=True)
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         out.write(np.ascontiguousarray(array).tobytes())
     system.move(path, _filesystem(uri)[1])
 
