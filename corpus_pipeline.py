@@ -1,4 +1,72 @@
-"""The corpus pipeline (filled in as its operators come)."""
+"""The corpus pipeline: toxicity, near duplicates, repeated passages, personal data, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again as the next stage's docs. All but the last return the
+columns of documents. Null and empty texts, repeated rows, null ids and empty
+tables are handled as the operators' docstrings say.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wayframe.llm import near_dedup, packing, pii, substring_dedup, toxicity
+from wayframe.llm.common import fresh_path, table
+from wayframe.llm.entries import tokenizer_file
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain doesn't reject, trained on the labels of those that are here."""
+    judged = toxicity.classify(docs, table(spark, sf_dir, "labels"), keep=COLUMNS)
+    return judged.where(~F.col("toxic")).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates (five words, similarity 0.8): that of the smallest id."""
+    classes = near_dedup.near_duplicates(docs, size=5, share=(80, 100))
+    gone = classes.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti").select(*COLUMNS)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are removed; n_chars is that of the new text."""
+    cleaned = substring_dedup.remove_repeats(docs)
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
+    return cleaned.select(*COLUMNS[:-1], length)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data are replaced by their kind; n_chars is that of the new text."""
+    found = pii.find(docs, keep=("doc_id", "lang", "source", "n_chars"))
+    length = F.when(F.col("spans") != "", F.length("masked_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
+    return found.select("doc_id", F.col("masked_text").alias("text"), "lang", "source", length)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 4096 tokens."""
+    return packing.pack(docs, packing.word_encoder(tokenizer_file("word_bpe_49k.json")), end_id=2, emit_ids=False)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("substring_dedup", drop_repeats),
+    ("pii", mask_personal_data),
+    ("packing", pack),
+]
+
+#: A trained classifier decides in the first stage, which SQL can't express; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over documents; each stage's output is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = fresh_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

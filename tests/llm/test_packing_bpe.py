@@ -105,6 +105,14 @@ def check_packed(rows, texts):
     assert len(by_seq) <= total / 4096 + 2
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x2FF), st.sampled_from("aB'’ \u0301\u0307ΣςıİKÅẞﬁ日٣<|>"), st.characters(codec="utf-8")), max_size=30))
+def test_word_encoder(text):
+    own = packing.WordEncoder(P.path("word_bpe_49k.json")) if not packing._ENCODERS else next(iter(packing._ENCODERS.values()))
+    packing._ENCODERS.setdefault("test", own)
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == brute_ids([text])[0][:-1]
+
+
 def test_pack(spark):
     encode = packing.word_encoder(P.path("word_bpe_49k.json"))
     check_packed(packing.pack(docs(spark, ODD).repartition(3), encode, 2).collect(), ODD)

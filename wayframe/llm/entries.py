@@ -60,7 +60,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_substring_dedup": op2_substring_dedup, "op3_byte_bpe": op3_byte_bpe, "op4_top_k": op4_top_k, "op5_warc": op5_warc, "op6_near_dedup": op6_near_dedup, "op7_ngram_lm": op7_ngram_lm, "op8_embedding_dedup": op8_embedding_dedup, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {"op1_packing": op1_packing, "op2_substring_dedup": op2_substring_dedup, "op3_byte_bpe": op3_byte_bpe, "op4_top_k": op4_top_k, "op5_warc": op5_warc, "op6_near_dedup": op6_near_dedup, "op7_ngram_lm": op7_ngram_lm, "op8_embedding_dedup": op8_embedding_dedup, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity, "pipeline": pipeline}
 ORACLE_SQL: dict[str, str] = {
     "op4_top_k": """
         WITH v AS (
