@@ -14,3 +14,6 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+sys.path.insert(0, str(Path(__file__).resolve().parent / "llm"))
