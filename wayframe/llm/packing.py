@@ -17,6 +17,7 @@ of all rows with one length is no hot key anywhere.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -32,14 +33,28 @@ from wayframe.llm.common import materialize, text_rows
 
 BUDGET = 4096
 UNIT = 16
-WORDS = 250_000
+WORDS = 400_000
+
+
+#: Lower-case words of ASCII and Latin-1 alone, without apostrophes, and their splits: letters, one digit, signs.
+SIMPLE = re.compile(r"[a-zß-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
+SPLIT = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The characters by which byte-level vocabularies write bytes: printable ones as they are, the others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class WordEncoder:
-    """Token ids of texts by a tokenizer file whose splits never cross white space.
+    """Token ids of texts by a tokenizer file whose splits never cross white space and which lower-cases.
 
     Distinct words are encoded once and kept (at most WORDS of them), since a
-    text's ids are those of its words in turn.
+    text's ids are those of its words in turn. For words that normalising
+    leaves as they are (SIMPLE) the splits go straight to the file's BPE model;
+    any others go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -47,16 +62,39 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.tokenizer.encode_special_tokens = True  # in a text their strings are ordinary
+        self.model = self.tokenizer.model
+        self.alphabet = byte_alphabet()
+        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        if not part.isascii():
+            written = "".join(map(self.alphabet.__getitem__, part.encode("utf-8")))
+        else:
+            written = part
+        found = self.parts[part] = np.array([t.id for t in self.model.tokenize(written)], "<u4").tobytes()
+        return found
+
+    def learn(self, words: list[bytes]) -> None:
+        hard, known, parts, part = [], self.known, self.parts, self.part
+        if len(parts) > WORDS:
+            parts.clear()
+        for word in words:
+            w = word.decode().lower()
+            if SIMPLE.fullmatch(w):
+                known[word] = b"".join([parts.get(p) or part(p) for p in SPLIT.findall(w)])
+            else:
+                hard.append(word)
+        for word, e in zip(hard, self.tokenizer.encode_batch_fast([w.decode() for w in hard], add_special_tokens=False), strict=True):
+            known[word] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        # Lower-casing A-Z first and splitting at ASCII white space change no ids.
+        split = [t.encode("utf-8").lower().split() for t in texts]
         if len(self.known) > WORDS:
-            self.known = {"": b""}
-        missing = list({w for words in split for w in words if w not in self.known})
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(missing, found, strict=True))
+            self.known = {}
+        self.learn(list({w for words in split for w in words}.difference(self.known)))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
