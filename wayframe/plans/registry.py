@@ -1,6 +1,251 @@
-"""All registered queries and their oracle SQL."""
+"""All registered queries over the derived catalog, and their oracle SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wayframe.functions import distance, matrix
+from wayframe.operators import audit, incremental, queries, validate
+from wayframe.operators import catalog as cat
+from wayframe.plans import derived
+from wayframe.sources import instances
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None, prelude: bool = True) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE_SQL[name] = (derived.SQL if prelude else "") + sql
+        return f
+
+    return add
+
+
+def over_catalog(name: str, f: Callable[[cat.Catalog], DataFrame], sql: str) -> None:
+    register(name, sql)(lambda spark, sf_dir: f(derived.catalog(spark, sf_dir)))
+
+
+# --- statistics, listings and the documented queries ---
+
+over_catalog("type_stats", queries.problem_stats, "SELECT type, count(*) AS count, round(avg(dimension), 2) AS avg_dimension, max(dimension) AS max_dimension FROM v GROUP BY type")
+over_catalog("list_all", lambda c: queries.query_problems(c), "SELECT id, name, type, comment, dimension, capacity, edge_weight_type, edge_weight_format FROM v ORDER BY name, type LIMIT 100")
+over_catalog("list_first_ten", lambda c: queries.query_problems(c, limit=10).select("name", "type", "dimension"), "SELECT name, type, dimension FROM v ORDER BY name, type LIMIT 10")
+over_catalog("list_vrp_alias", lambda c: queries.query_problems(c, "VRP", min_dimension=2, max_dimension=700), "SELECT id, name, type, comment, dimension, capacity, edge_weight_type, edge_weight_format FROM v WHERE type = 'CVRP' AND dimension BETWEEN 2 AND 700")
+over_catalog("list_large_tsp", lambda c: queries.query_problems(c, "TSP", min_dimension=50, limit=None).select("name", "dimension"), "SELECT name, dimension FROM v WHERE type = 'TSP' AND dimension >= 50")
+for _t in derived.KINDS:
+    over_catalog(
+        f"list_metadata_{_t.lower()}",
+        lambda c, t=_t: queries.list_problem_metadata(c, t),
+        f"SELECT id, name, type, false AS has_solution, dimension, comment, coalesce(edge_weight_type, CASE WHEN type = 'ATSP' THEN 'EXPLICIT' END) AS edge_type FROM v WHERE type = '{_t}'",
+    )
+over_catalog(
+    "problem_metadata",
+    lambda c: queries.problem_metadata(c).drop("source_file", "file_checksum"),
+    "SELECT id, name, type, false AS has_solution, dimension, comment, capacity, coalesce(edge_weight_type, CASE WHEN type = 'ATSP' THEN 'EXPLICIT' END) AS edge_type FROM v",
+)
+over_catalog("size_buckets", queries.size_buckets, "SELECT CASE WHEN dimension < 50 THEN 'small' WHEN dimension < 100 THEN 'medium' WHEN dimension < 500 THEN 'large' ELSE 'huge' END AS size_class, count(*) AS problems FROM v GROUP BY 1")
+over_catalog(
+    "weight_categories",
+    queries.weight_categories,
+    "SELECT CASE WHEN edge_weight_type IN ('EUC_2D', 'CEIL_2D', 'EUC_3D') THEN 'euclidean' WHEN edge_weight_type = 'GEO' THEN 'geographic' WHEN edge_weight_type IS NULL OR edge_weight_type = 'EXPLICIT' THEN 'explicit' ELSE 'other' END AS category, count(*) AS problems, max(dimension) AS max_dimension FROM v GROUP BY 1",
+)
+over_catalog("with_capacity", queries.with_capacity, "SELECT name, type, capacity, dimension FROM v WHERE capacity IS NOT NULL")
+over_catalog("dimension_between", lambda c: queries.between(c, 50, 500), "SELECT name, type, dimension FROM v WHERE dimension BETWEEN 50 AND 500")
+over_catalog("nodes_of_one", lambda c: queries.nodes_of(c, "NATION_10"), "SELECT name, node_id, x, y, demand FROM v JOIN n ON problem_id = id WHERE name = 'NATION_10'")
+over_catalog("nodes_view", cat.nodes_view, "SELECT problem_id, node_id, x, y, demand, demand IS NOT NULL AND node_id = 0 AS is_depot FROM n")
+over_catalog("node_counts", queries.node_counts, "SELECT name, type, CAST(count(node_id) AS INTEGER) AS nodes FROM v LEFT JOIN n ON problem_id = id GROUP BY 1, 2")
+over_catalog("matrix_listing", queries.matrix_listing, "SELECT name, type, CAST(max(i) + 1 AS INTEGER) AS matrix_size, false AS is_symmetric, CAST(max(CASE WHEN i = 0 AND j = 5 THEN m.w END) AS INTEGER) AS cell_0_5 FROM v JOIN m ON problem_id = id GROUP BY 1, 2")
+over_catalog("type_summary", queries.type_summary, "SELECT type, count(*) AS problems, min(dimension) AS min_dimension, max(dimension) AS max_dimension, CAST(sum(dimension) AS BIGINT) AS total_nodes, count(DISTINCT CASE WHEN comment IS NOT NULL THEN name END) AS commented FROM v GROUP BY 1")
+over_catalog("storage_summary", queries.storage_summary, "SELECT type, CASE WHEN type IN ('ATSP', 'SOP') THEN 'matrix' WHEN type IN ('TSP', 'CVRP') THEN 'coordinates' ELSE 'none' END AS storage_method, count(DISTINCT id) AS problems FROM v GROUP BY 1, 2")
+over_catalog("coverage", queries.coverage, "SELECT count(*) AS problems, count(*) FILTER (WHERE type IN ('TSP', 'CVRP')) AS with_nodes, count(*) FILTER (WHERE type IN ('ATSP', 'SOP')) AS with_matrix FROM v")
+over_catalog("largest_nodes", queries.largest_nodes, "SELECT problem_id, node_id, x, y FROM n WHERE problem_id = (SELECT id FROM v WHERE type IN ('TSP', 'CVRP') ORDER BY dimension DESC, name LIMIT 1) ORDER BY node_id LIMIT 10")
+over_catalog("edge_stats", queries.edge_stats, "SELECT problem_id, count(*) AS edges, CAST(sum(w) AS BIGINT) AS total_weight, CAST(min(w) AS INTEGER) AS min_weight, CAST(max(w) AS INTEGER) AS max_weight FROM m WHERE i <> j GROUP BY 1")
+over_catalog("weight_histogram", queries.weight_histogram, "SELECT CAST(floor(w / 20) AS INTEGER) AS bucket, count(*) AS edges FROM m WHERE i <> j GROUP BY 1")
+over_catalog("depot_counts", queries.depot_counts, "SELECT name, 1 AS depots, CAST((SELECT sum(demand) FROM n WHERE problem_id = id) AS BIGINT) AS total_demand FROM v WHERE type = 'CVRP'")
+
+
+# --- integrity: a clean catalog, and one with a violation of each kind ---
+
+over_catalog("integrity_clean", audit.integrity_failures, "SELECT '' AS \"check\", 0 AS problem_id, '' AS detail WHERE false")
+
+
+def seeded(c: cat.Catalog) -> cat.Catalog:
+    t = dict(c.tables)
+    t["problems"] = t["problems"].where("id <> 7")  # leaves an ATSP row and matrix behind
+    t["tsp_problems"] = t["tsp_problems"].withColumn("dimension", F.when(F.col("problem_id") == 1, -1).otherwise(F.col("dimension"))).where("problem_id <> 6")
+    drop_row = F.when(F.col("problem_id") == 2, F.slice("matrix", 1, 2)).otherwise(F.col("matrix"))
+    t["edge_weight_matrices"] = t["edge_weight_matrices"].withColumn("matrix", drop_row).where("problem_id <> 5")
+    return cat.Catalog(c.spark, t)
+
+
+over_catalog(
+    "integrity_seeded",
+    lambda c: audit.integrity_failures(seeded(c)),
+    """
+    SELECT 'hub_without_type_row' AS "check", id AS problem_id, name AS detail FROM v WHERE id = 6
+    UNION ALL SELECT 'type_row_without_hub', id, 'atsp_problems' FROM v WHERE id = 7
+    UNION ALL SELECT 'explicit_without_matrix', id, 'SOP' FROM v WHERE id = 5
+    UNION ALL SELECT 'matrix_not_square', id, '2' FROM v WHERE id = 2
+    UNION ALL SELECT 'matrix_dimension', id, '2/' || dimension FROM v WHERE id = 2
+    UNION ALL SELECT 'coordinate_dimension', id, dimension || '/-1' FROM v WHERE id = 1
+    """,
+)
+over_catalog("matrix_dimension_audit", lambda c: queries.matrix_dimension_audit(seeded(c)), "SELECT name, type, dimension, 2 AS matrix_size, dimension - 2 AS difference FROM v WHERE id = 2")
+
+
+# --- distances and routes ---
+
+_LEGS = "legs AS (SELECT a.problem_id, a.node_id, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by FROM nodes a JOIN nodes b ON a.problem_id = b.problem_id AND b.node_id = a.node_id + 1)"
+_GEO = "(6378.388 * acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, 0.5 * ((1.0 + cos(oa - ob)) * cos(la - lb) - (1.0 - cos(oa - ob)) * cos(la + lb))))) + 1.0)"
+_RAD = "3.141592::DOUBLE * (trunc({0}) + 5.0::DOUBLE * ({0} - trunc({0})) / 3.0::DOUBLE) / 180.0::DOUBLE"
+
+
+@register(
+    "distances",
+    f""", {_LEGS}, d AS (SELECT *, sqrt((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) AS e, sqrt(((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) / 10.0) AS r FROM legs)
+    SELECT problem_id, node_id, CAST(trunc(e + 0.5) AS INTEGER) AS euc_2d, CAST(ceil(e) AS INTEGER) AS ceil_2d, CAST(trunc(abs(ax - bx) + abs(ay - by) + 0.5) AS INTEGER) AS man_2d,
+           CAST(greatest(trunc(abs(ax - bx) + 0.5), trunc(abs(ay - by) + 0.5)) AS INTEGER) AS max_2d,
+           CAST(CASE WHEN trunc(r + 0.5) < r THEN trunc(r + 0.5) + 1 ELSE trunc(r + 0.5) END AS INTEGER) AS att FROM d""",
+)
+def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each node to its next, by five weight types."""
+    rows = derived.nations(spark, sf_dir).select("problem_id", "coords", F.posexplode("coords").alias("node_id", "a"))
+    rows = rows.withColumn("b", F.get("coords", F.col("node_id") + 1)).where("b is not null")
+    return rows.select("problem_id", "node_id", *(distance.DISTANCES[n](F.col("a"), F.col("b")).alias(n.lower()) for n in ("EUC_2D", "CEIL_2D", "MAN_2D", "MAX_2D", "ATT")))
+
+
+@register(
+    "distances_geo",
+    f""", {_LEGS}, g AS (SELECT problem_id, node_id, (ax - 500) * 0.17::DOUBLE AS la0, (ay - 500) * 0.35::DOUBLE AS oa0, (bx - 500) * 0.17::DOUBLE AS lb0, (by - 500) * 0.35::DOUBLE AS ob0 FROM legs),
+    r AS (SELECT problem_id, node_id, {_RAD.format("la0")} AS la, {_RAD.format("oa0")} AS oa, {_RAD.format("lb0")} AS lb, {_RAD.format("ob0")} AS ob FROM g)
+    SELECT problem_id, node_id, CAST(trunc({_GEO}) AS INTEGER) AS geo FROM r""",
+)
+def distances_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    point = lambda c: F.array((F.get(c, F.lit(0)) - 500) * 0.17, (F.get(c, F.lit(1)) - 500) * 0.35)
+    rows = derived.nations(spark, sf_dir).select("problem_id", F.transform("coords", point).alias("coords"))
+    rows = rows.select("problem_id", "coords", F.posexplode("coords").alias("node_id", "a")).withColumn("b", F.get("coords", F.col("node_id") + 1)).where("b is not null")
+    return rows.select("problem_id", "node_id", distance.geo()(F.col("a"), F.col("b")).alias("geo"))
+
+
+@register(
+    "tour_costs",
+    """, t AS (
+        SELECT n.problem_id, n.x AS ax, n.y AS ay, coalesce(b.x, f.x) AS bx, coalesce(b.y, f.y) AS by, w FROM n JOIN p ON p.id = n.problem_id
+        LEFT JOIN n b ON b.problem_id = n.problem_id AND b.node_id = n.node_id + 1 JOIN n f ON f.problem_id = n.problem_id AND f.node_id = 0
+    ), d AS (SELECT *, sqrt((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) AS e, sqrt(((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) / 10.0) AS r FROM t)
+    SELECT problem_id, CAST(sum(CASE w WHEN 'EUC_2D' THEN trunc(e + 0.5) WHEN 'CEIL_2D' THEN ceil(e) WHEN 'MAN_2D' THEN trunc(abs(ax - bx) + abs(ay - by) + 0.5)
+        WHEN 'MAX_2D' THEN greatest(trunc(abs(ax - bx) + 0.5), trunc(abs(ay - by) + 0.5)) ELSE CASE WHEN trunc(r + 0.5) < r THEN trunc(r + 0.5) + 1 ELSE trunc(r + 0.5) END END) AS BIGINT) AS cost
+    FROM d GROUP BY 1 UNION ALL
+    SELECT m.problem_id, CAST(sum(m.w) AS BIGINT) FROM m JOIN dims USING (problem_id) WHERE j = (i + 1) % dimension GROUP BY 1""",
+)
+def tour_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical tour of every problem with a matrix or coordinates, by its own weight type."""
+    c = derived.catalog(spark, sf_dir)
+    rows = c.type_rows("dimension", "edge_weight_type", "coords").join(c["edge_weight_matrices"].select("problem_id", "matrix"), "problem_id", "left")
+    tour = F.array(F.sequence(F.lit(0), F.col("dimension") - 1))
+    cost = distance.routes_cost(tour, F.col("coords"), F.col("matrix"), F.col("edge_weight_type"))
+    return rows.where("coords is not null or matrix is not null").select("problem_id", cost.cast("long").alias("cost"))
+
+
+@register(
+    "order_routes",
+    """
+    WITH s AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(l_suppkey * 7919 % 1000 AS DOUBLE) AS x, CAST(l_suppkey * 104729 % 1000 AS DOUBLE) AS y,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
+    SELECT a.l_orderkey, CAST(max(a.n) AS INTEGER) AS stops, CAST(sum(trunc(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) + 0.5)) AS BIGINT) AS cost
+    FROM s a JOIN s b ON a.l_orderkey = b.l_orderkey AND b.k = a.k % a.n + 1 GROUP BY 1
+    """,
+    prelude=False,
+)
+def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closed route of each order through its suppliers: one shuffle by order, then work within the row."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_suppkey")
+    route = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("r"))
+    point = lambda s: F.array((s["l_suppkey"] * 7919 % 1000).cast("double"), (s["l_suppkey"] * 104729 % 1000).cast("double"))
+    rows = route.select("l_orderkey", F.transform("r", point).alias("c"))
+    stops = F.size("c")
+    cost = distance.route_cost(F.sequence(F.lit(0), stops - 1), lambda i, j: distance.DISTANCES["EUC_2D"](F.get("c", i), F.get("c", j)))
+    return rows.select("l_orderkey", stops.alias("stops"), cost.cast("long").alias("cost"))
+
+
+# --- instance text: written, read back, validated, stored ---
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.validate(instances.parse(derived.instance_texts(spark, sf_dir)))
+
+
+@register("text_round_trip_nodes", "SELECT name, node_id, x, y, demand, demand IS NOT NULL AND node_id = 0 AS is_depot FROM n JOIN p ON p.id = problem_id")
+def text_round_trip_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _parsed(spark, sf_dir).where("size(errors) = 0").select("problem_data.name", "demands", "depots", F.posexplode("coords").alias("node_id", "c"))
+    demand = F.get("demands", F.col("node_id"))
+    return rows.select("name", "node_id", F.get("c", F.lit(0)).alias("x"), F.get("c", F.lit(1)).alias("y"), demand.alias("demand"), F.array_contains("depots", F.col("node_id")).alias("is_depot"))
+
+
+@register("text_round_trip_matrix", "SELECT name, i, j, CAST(m.w AS INTEGER) AS w FROM m JOIN p ON p.id = problem_id")
+def text_round_trip_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _parsed(spark, sf_dir).where("matrix is not null").select("problem_data.name", F.posexplode("matrix").alias("i", "row"))
+    return rows.select("name", "i", F.posexplode("row").alias("j", "w"))
+
+
+@register("text_round_trip_edges", "SELECT name, node_id AS from_node, CAST((node_id + 1) % dimension AS INTEGER) AS to_node FROM nodes JOIN p ON p.id = problem_id WHERE type = 'HCP'")
+def text_round_trip_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _parsed(spark, sf_dir).select("problem_data.name", F.explode("edges").alias("e"))
+    return rows.select("name", F.get("e", F.lit(0)).alias("from_node"), F.get("e", F.lit(1)).alias("to_node"))
+
+
+@register("text_summary", "SELECT count(*) AS total, count(*) AS successful, CAST(0 AS BIGINT) AS failed, CAST(100.0 AS DOUBLE) AS success_rate FROM p")
+def text_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.summary(_parsed(spark, sf_dir)).select("total", "successful", "failed", F.col("success_rate").cast("double").alias("success_rate"))
+
+
+@register(
+    "stored_from_text",
+    "SELECT CAST(row_number() OVER (ORDER BY name, type) AS INTEGER) AS id, name, type, dimension, capacity, edge_weight_type FROM v",
+)
+def stored_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files parsed, validated and upserted twice into an empty catalog; ids by (name, type) stay."""
+    checked = _parsed(spark, sf_dir).withColumn("checksum", F.sha2("path", 256)).withColumn("file_size", F.lit(0).cast("long"))
+    once, _ = cat.ingest(cat.Catalog(spark), checked)
+    twice, _ = cat.ingest(once, checked)
+    return cat.problems_view(twice).select("id", "name", "type", "dimension", "capacity", "edge_weight_type")
+
+
+@register("matrix_symmetry", "SELECT problem_id, bool_and(w = o) AS is_symmetric FROM (SELECT a.problem_id, a.w, b.w AS o FROM m a JOIN m b ON a.problem_id = b.problem_id AND a.i = b.j AND a.j = b.i) GROUP BY 1")
+def matrix_symmetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived.catalog(spark, sf_dir)["edge_weight_matrices"].select("problem_id", matrix.is_symmetric(F.col("matrix")).alias("is_symmetric"))
+
+
+# --- change detection over documents as file contents ---
+
+
+@register(
+    "detect_changes",
+    """
+    WITH new AS (SELECT doc_id, sha256(text) AS checksum FROM documents WHERE doc_id % 11 <> 5),
+    old AS (SELECT doc_id, sha256(CASE WHEN doc_id % 7 = 0 THEN text || '!' ELSE text END) AS checksum FROM documents WHERE doc_id % 3 <> 0)
+    SELECT '/docs/' || coalesce(new.doc_id, old.doc_id) AS path, new.checksum,
+           CASE WHEN new.doc_id IS NULL THEN 'missing' WHEN old.doc_id IS NULL THEN 'new' WHEN new.checksum = old.checksum THEN 'unchanged' ELSE 'modified' END AS status
+    FROM new FULL JOIN old ON new.doc_id = old.doc_id
+    """,
+    prelude=False,
+)
+def detect_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    path = F.concat(F.lit("/docs/"), F.col("doc_id").cast("string"))
+    files = docs.where("doc_id % 11 <> 5").select(path.alias("path"), F.sha2(F.col("text").cast("binary"), 256).alias("checksum"))
+    text = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    tracked = docs.where("doc_id % 3 <> 0").select(path.alias("file_path"), F.sha2(text.cast("binary"), 256).alias("checksum"))
+    return incremental.detect_changes(files, tracked)
+
+
+@register("change_counts", "SELECT status, count(*) AS files FROM (" + ORACLE_SQL["detect_changes"] + ") GROUP BY 1", prelude=False)
+def change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.change_counts(detect_changes(spark, sf_dir))
