@@ -16,4 +16,5 @@ def spark():
     session.stop()
 
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent / "llm"))

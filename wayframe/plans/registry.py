@@ -102,16 +102,16 @@ over_catalog("matrix_dimension_audit", lambda c: queries.matrix_dimension_audit(
 
 # --- distances and routes ---
 
-_LEGS = "legs AS (SELECT a.problem_id, a.node_id, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by FROM nodes a JOIN nodes b ON a.problem_id = b.problem_id AND b.node_id = a.node_id + 1)"
+_LEGS = "legs AS (SELECT a.problem_id, a.node_id, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS ry FROM nodes a JOIN nodes b ON a.problem_id = b.problem_id AND b.node_id = a.node_id + 1)"
 _GEO = "(6378.388 * acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, 0.5 * ((1.0 + cos(oa - ob)) * cos(la - lb) - (1.0 - cos(oa - ob)) * cos(la + lb))))) + 1.0)"
 _RAD = "3.141592::DOUBLE * (trunc({0}) + 5.0::DOUBLE * ({0} - trunc({0})) / 3.0::DOUBLE) / 180.0::DOUBLE"
 
 
 @register(
     "distances",
-    f""", {_LEGS}, d AS (SELECT *, sqrt((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) AS e, sqrt(((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) / 10.0) AS r FROM legs)
-    SELECT problem_id, node_id, CAST(trunc(e + 0.5) AS INTEGER) AS euc_2d, CAST(ceil(e) AS INTEGER) AS ceil_2d, CAST(trunc(abs(ax - bx) + abs(ay - by) + 0.5) AS INTEGER) AS man_2d,
-           CAST(greatest(trunc(abs(ax - bx) + 0.5), trunc(abs(ay - by) + 0.5)) AS INTEGER) AS max_2d,
+    f""", {_LEGS}, d AS (SELECT *, sqrt((ax - bx) * (ax - bx) + (ay - ry) * (ay - ry)) AS e, sqrt(((ax - bx) * (ax - bx) + (ay - ry) * (ay - ry)) / 10.0) AS r FROM legs)
+    SELECT problem_id, node_id, CAST(trunc(e + 0.5) AS INTEGER) AS euc_2d, CAST(ceil(e) AS INTEGER) AS ceil_2d, CAST(trunc(abs(ax - bx) + abs(ay - ry) + 0.5) AS INTEGER) AS man_2d,
+           CAST(greatest(trunc(abs(ax - bx) + 0.5), trunc(abs(ay - ry) + 0.5)) AS INTEGER) AS max_2d,
            CAST(CASE WHEN trunc(r + 0.5) < r THEN trunc(r + 0.5) + 1 ELSE trunc(r + 0.5) END AS INTEGER) AS att FROM d""",
 )
 def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +123,7 @@ def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "distances_geo",
-    f""", {_LEGS}, g AS (SELECT problem_id, node_id, (ax - 500) * 0.17::DOUBLE AS la0, (ay - 500) * 0.35::DOUBLE AS oa0, (bx - 500) * 0.17::DOUBLE AS lb0, (by - 500) * 0.35::DOUBLE AS ob0 FROM legs),
+    f""", {_LEGS}, g AS (SELECT problem_id, node_id, (ax - 500) * 0.17::DOUBLE AS la0, (ay - 500) * 0.35::DOUBLE AS oa0, (bx - 500) * 0.17::DOUBLE AS lb0, (ry - 500) * 0.35::DOUBLE AS ob0 FROM legs),
     r AS (SELECT problem_id, node_id, {_RAD.format("la0")} AS la, {_RAD.format("oa0")} AS oa, {_RAD.format("lb0")} AS lb, {_RAD.format("ob0")} AS ob FROM g)
     SELECT problem_id, node_id, CAST(trunc({_GEO}) AS INTEGER) AS geo FROM r""",
 )
@@ -137,11 +137,11 @@ def distances_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "tour_costs",
     """, t AS (
-        SELECT n.problem_id, n.x AS ax, n.y AS ay, coalesce(b.x, f.x) AS bx, coalesce(b.y, f.y) AS by, w FROM n JOIN p ON p.id = n.problem_id
+        SELECT n.problem_id, n.x AS ax, n.y AS ay, coalesce(b.x, f.x) AS bx, coalesce(b.y, f.y) AS ry, w FROM n JOIN p ON p.id = n.problem_id
         LEFT JOIN n b ON b.problem_id = n.problem_id AND b.node_id = n.node_id + 1 JOIN n f ON f.problem_id = n.problem_id AND f.node_id = 0
-    ), d AS (SELECT *, sqrt((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) AS e, sqrt(((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) / 10.0) AS r FROM t)
-    SELECT problem_id, CAST(sum(CASE w WHEN 'EUC_2D' THEN trunc(e + 0.5) WHEN 'CEIL_2D' THEN ceil(e) WHEN 'MAN_2D' THEN trunc(abs(ax - bx) + abs(ay - by) + 0.5)
-        WHEN 'MAX_2D' THEN greatest(trunc(abs(ax - bx) + 0.5), trunc(abs(ay - by) + 0.5)) ELSE CASE WHEN trunc(r + 0.5) < r THEN trunc(r + 0.5) + 1 ELSE trunc(r + 0.5) END END) AS BIGINT) AS cost
+    ), d AS (SELECT *, sqrt((ax - bx) * (ax - bx) + (ay - ry) * (ay - ry)) AS e, sqrt(((ax - bx) * (ax - bx) + (ay - ry) * (ay - ry)) / 10.0) AS r FROM t)
+    SELECT problem_id, CAST(sum(CASE w WHEN 'EUC_2D' THEN trunc(e + 0.5) WHEN 'CEIL_2D' THEN ceil(e) WHEN 'MAN_2D' THEN trunc(abs(ax - bx) + abs(ay - ry) + 0.5)
+        WHEN 'MAX_2D' THEN greatest(trunc(abs(ax - bx) + 0.5), trunc(abs(ay - ry) + 0.5)) ELSE CASE WHEN trunc(r + 0.5) < r THEN trunc(r + 0.5) + 1 ELSE trunc(r + 0.5) END END) AS BIGINT) AS cost
     FROM d GROUP BY 1 UNION ALL
     SELECT m.problem_id, CAST(sum(m.w) AS BIGINT) FROM m JOIN dims USING (problem_id) WHERE j = (i + 1) % dimension GROUP BY 1""",
 )
@@ -212,7 +212,7 @@ def text_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stored_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files parsed, validated and upserted twice into an empty catalog; ids by (name, type) stay."""
-    checked = _parsed(spark, sf_dir).withColumn("checksum", F.sha2("path", 256)).withColumn("file_size", F.lit(0).cast("long"))
+    checked = _parsed(spark, sf_dir).withColumn("checksum", F.sha2("path", 256)).withColumn("file_size", F.lit(0).cast("long")).persist()
     once, _ = cat.ingest(cat.Catalog(spark), checked)
     twice, _ = cat.ingest(once, checked)
     return cat.problems_view(twice).select("id", "name", "type", "dimension", "capacity", "edge_weight_type")
