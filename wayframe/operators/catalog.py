@@ -131,8 +131,9 @@ def assign_ids(rows: DataFrame, current: DataFrame) -> DataFrame:
 def upsert(c: Catalog, rows: DataFrame) -> Catalog:
     """The next state: rows replace those of the same (name, type), which keep their id and creation time."""
     now = F.current_timestamp()
-    hub, rows = c["problems"], assign_ids(rows, c["problems"])
-    rows = rows.withColumn("storage", storage_column(F.col("type")))
+    hub, rows = c["problems"], assign_ids(rows.persist(), c["problems"])
+    # Every table below reads these rows: they are computed once.
+    rows = rows.withColumn("storage", storage_column(F.col("type"))).persist()
     ids = rows.select(F.col("id").alias("problem_id"))
     fresh = rows.select("id", "name", "type").join(hub.select("id", "has_solution", "created_at"), "id", "left")
     fresh = fresh.select("id", "name", "type", F.coalesce("has_solution", F.lit(False)).alias("has_solution"), F.coalesce("created_at", now).alias("created_at"), now.alias("updated_at"))
@@ -153,7 +154,7 @@ def track(current: DataFrame, files: DataFrame) -> DataFrame:
     top = current.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     known = files.join(current.select("id", F.col("file_path").alias("path")), "path")
     new = files.join(current.select(F.col("file_path").alias("path")), "path", "left_anti")
-    numbered = current.sparkSession.createDataFrame(new.select("path").distinct().orderBy("path").rdd.map(tuple).zipWithIndex().map(lambda r: (r[0][0], r[1] + 1 + top)), "path string, id int")
+    numbered = current.sparkSession.createDataFrame(new.select("path").distinct().orderBy("path").rdd.map(tuple).zipWithIndex().map(lambda r: (r[0][0], r[1] + 1 + top)), "path string, id int").persist()
     rows = known.unionByName(new.join(numbered, "path")).select("id", F.col("path").alias("file_path"), "problem_id", "checksum", F.current_timestamp().alias("last_processed"), "file_size")
     return current.join(rows.select("file_path"), "file_path", "left_anti").select(*rows.columns).unionByName(rows)
 
