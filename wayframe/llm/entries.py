@@ -93,6 +93,24 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND payload_bytes >= 100
     """,
+    "op6_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w
+        ), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+            GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+        ), links AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p
+        ), reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), c AS (
+            SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.b, s.doc_id)) AS component_id
+            FROM s LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY 1) m ON m.a = s.doc_id
+        )
+        SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM c
+    """,
     "op8_embedding_dedup": """
         WITH RECURSIVE v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
