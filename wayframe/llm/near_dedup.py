@@ -10,14 +10,14 @@ are confirmed on their full sets.
 A bucket of m nodes isn't paired off. First every node meets the bucket's pivot
 alone: m - 1 pairs. Only buckets that the confirmed links leave in several
 components go on: their nodes outside of the bucket's largest component meet
-all others, in blocks of BLOCK. No link between nodes that share a bucket, and
+all others, in blocks of BLOCK that confirm in place and give joining links alone. No link between nodes that share a bucket, and
 that the components need, is lost; a pair at the threshold shares none with a
 chance of (1 - 0.8^4)^32 = 5e-8.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -170,17 +170,42 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, text: str, ids: DataFrame, key
     return links, [p2]
 
 
-def _meet(block: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block's rows with its probes, in another component and alike by their sketches."""
-    sketch = np.stack(block["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
-    node, root, probe = (block[c].to_numpy() for c in ("node", "root", "probe"))
-    base, found = np.flatnonzero(~probe), []
-    for i in np.flatnonzero(probe):
-        other = base[root[base] != root[i]]
-        near = other[np.bitwise_count(sketch[other] ^ sketch[i]).sum(1, dtype=np.int64) <= MOST_BITS]
-        found.append(np.stack([np.minimum(node[near], node[i]), np.maximum(node[near], node[i])], 1))
-    pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+def _meet(share: tuple[int, int]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Confirms a block's probes against its other rows; gives links that join components, not all pairs."""
+
+    def meet(block: pd.DataFrame) -> pd.DataFrame:
+        sketch = np.stack(block["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
+        node, root, probe = (block[c].to_numpy() for c in ("node", "root", "probe"))
+        sets = [np.asarray(s, np.int64) for s in block["set"]]
+        size = np.array([len(s) for s in sets])
+        names, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        start = np.concatenate([[0], np.cumsum(size)])
+        base, here = np.flatnonzero(~probe), np.zeros(len(names), bool)
+        parent = {r: r for r in root.tolist()}
+
+        def find(r: int) -> int:
+            while parent[r] != r:
+                parent[r] = r = parent[parent[r]]
+            return r
+
+        links = []
+        for i in np.flatnonzero(probe):
+            other = base[root[base] != root[i]]
+            near = other[np.bitwise_count(sketch[other] ^ sketch[i]).sum(1, dtype=np.int64) <= MOST_BITS]
+            if not len(near):
+                continue
+            own = codes[start[i] : start[i + 1]]
+            here[own] = True
+            common = np.array([np.count_nonzero(here[codes[start[j] : start[j + 1]]]) for j in near])
+            here[own] = False
+            for j in near[common * share[1] >= (size[near] + size[i] - common) * share[0]]:
+                x, y = find(int(root[i])), find(int(root[j]))
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    links.append((node[i], node[j]))
+        return pd.DataFrame(links or {"a": [], "b": []}, columns=["a", "b"], dtype="int64")
+
+    return meet
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, share: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -213,16 +238,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     roots, roots_path = materialize(components(links), "roots")
     root = F.coalesce("component", F.col("node")).alias("root")
     rows = buckets.where("m > 2").join(roots, "node", "left").select("band", "node", root)
-    sizes = rows.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("m"), F.max_by("root", "n").alias("main"))
-    open_ = sizes.where("parts > 1").select("band", "main", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows, rows_path = materialize(rows.join(open_, "band").join(reps.select("node", "sketch"), "node"), "open")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    base = rows.select("band", "node", "root", "sketch", own.alias("block"), F.lit(False).alias("probe"))
-    probes = rows.where("root <> main").select("band", "node", "root", "sketch", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"))
-    pairs = base.union(probes).groupBy("band", "block").applyInPandas(_meet, "a long, b long").distinct()
-    more, more_paths = _confirmed(pairs, docs, text, ids, key, size, share)
+    sizes = rows.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main"))
+    rest = F.col("m") - F.col("most")
+    open_ = sizes.where("parts > 1").select("band", "main", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil(rest / BLOCK).cast("int").alias("probe_blocks"))
+    rows, rows_path = materialize(rows.join(open_, "band"), "open")
+    sets, sets_path = materialize(_full_sets(docs, text, rows.select("node").distinct(), ids, key, size), "open-sets")
+    rows = rows.join(reps.select("node", "sketch").join(sets, "node"), "node")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    base = rows.select("band", "node", "root", "sketch", "set", own("blocks").alias("i"), each("probe_blocks").alias("j"), F.lit(False).alias("probe"))
+    probes = rows.where("root <> main").select("band", "node", "root", "sketch", "set", each("blocks").alias("i"), own("probe_blocks").alias("j"), F.lit(True).alias("probe"))
+    more = base.union(probes).groupBy("band", "i", "j").applyInPandas(_meet(share), "a long, b long").distinct()
+    more, more_path = materialize(more, "more")
     roots2, roots2_path = materialize(components(links.union(more)), "roots")
-    drop_path(spark, buckets_path, reps_path, roots_path, rows_path, *paths, *more_paths)
+    drop_path(spark, buckets_path, reps_path, roots_path, rows_path, sets_path, more_path, *paths)
 
     placed = marks.select("id", "n_shingles", "node").join(roots2, "node", "left").withColumn("root", F.coalesce("component", F.col("node")))
     placed = placed.withColumn("root", F.when(F.col("id").isNull(), None).otherwise(F.col("root")))
