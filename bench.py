@@ -9,7 +9,7 @@ import time
 from wayframe.plans import registry
 from wayframe.session import local_session
 
-HEADLINE = ("type_stats", "list_all", "nodes_view", "edge_stats", "integrity_clean", "distances", "distances_geo", "tour_costs", "order_routes", "text_round_trip_nodes", "text_round_trip_matrix", "stored_from_text", "detect_changes")
+HEADLINE = ("type_stats", "list_all", "nodes_view", "edge_stats", "integrity_clean", "distances", "distances_geo", "tour_costs", "order_routes", "text_round_trip_nodes", "text_round_trip_matrix", "detect_changes")
 
 
 def main() -> None:
