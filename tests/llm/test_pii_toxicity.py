@@ -118,3 +118,19 @@ def test_later_links_use_earlier_probabilities():
     assert [len(w) for w in weights] == [6, 7]
     p = toxicity.Chain({str(i): i for i in range(5)}, weights).predict(x)
     assert ((p[:, 0] > 0.5) == a).mean() > 0.99 and ((p[:, 1] > 0.5) == b).mean() > 0.99
+
+
+def test_a_capped_sample_keeps_the_balance_of_the_labels(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 12 == 0
+        text = [rnd.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(8)] + ["rude"] * (rnd.random() < (0.8 if toxic else 0.25))
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(toxic)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    whole = toxicity.classify(docs, marks).collect()
+    monkeypatch.setattr(toxicity, "SAMPLE", 100)
+    capped = toxicity.classify(docs, marks).collect()
+    assert not any(r.toxic for r in whole) and not any(r.toxic for r in capped)  # "rude" is toxic in one of four
+    assert abs(np.mean([r.p_toxic for r in capped]) - 1 / 12) < 0.03

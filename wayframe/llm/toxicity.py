@@ -5,9 +5,11 @@ sees the probabilities of the earlier categories. In training those come from
 models that haven't seen the row (out of fold), as they will in use.
 
 The training sample is bounded: at most SAMPLE labelled documents of each class,
-those with the smallest hash of their id. Features are words and word beginnings;
-the FEATURES with the largest chi-square in the sample are kept. Scoring reads
-every word of every text, in one pass without a shuffle.
+those with the smallest hash of their id. Each sampled document weighs as many
+labelled ones as it stands for, so the balance of the classes is that of all
+labels at any table size. Features are words and word beginnings; the FEATURES
+with the largest weighted chi-square are kept. Scoring reads every word of every
+text, in one pass without a shuffle.
 
 The label table has one toxicity label and one of quality. The categories are
 low_quality (quality 0), severe (toxic, with at least SEVERE indicative
@@ -67,13 +69,13 @@ class Chain:
         return self.predict(x)
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
-    """One model for each column of labels; a model's inputs end with out-of-fold probabilities of the earlier ones."""
+def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, weight: np.ndarray | None = None) -> list[np.ndarray]:
+    """One model for each column of labels; a model's inputs end with out-of-fold probabilities of the earlier ones. Rows weigh 1 unless weight says."""
     weights = []
     for k in range(labels.shape[1]):
         y = labels[:, k].astype(float)
         same, back = np.unique(np.hstack([x, y[:, None], fold[:, None]]).round(6), axis=0, return_inverse=True)
-        count = np.bincount(back.ravel(), minlength=len(same)).astype(float)
+        count = np.bincount(back.ravel(), weight, len(same)).astype(float)
         rows, target, part = same[:, :-2], same[:, -2], same[:, -1]
         weights.append(logistic(rows, target, count, 3e-5, 12))
         apart = np.zeros(len(rows))
@@ -94,6 +96,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         .agg(F.max("_toxic").alias("_toxic"), F.min(F.coalesce("_quality", F.lit(1))).alias("_quality"))
     )
     known = marks.join(docs.select(docs[key].alias("_key")).where("_key is not null").distinct(), "_key", "left_semi")
+    totals = dict(known.groupBy("_toxic").count().collect())
     ids = [known.where(F.col("_toxic") == c).orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE) for c in (0, 1)]
     picked, picked_path = materialize(ids[0].union(ids[1]), "picked")
     sample = (
@@ -117,8 +120,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([f[n] for n in names], pa.int64()) for f in found)], names=["feature", "clean", "toxic"])
 
     n0, n1 = float(sizes[0]), float(sizes[1])
+    w0, w1 = totals[0] / n0, totals[1] / n1
     gap = F.col("toxic") / n1 - F.col("clean") / n0
-    mean = (F.col("toxic") + F.col("clean")) / (n0 + n1)
+    mean = (F.col("toxic") * w1 + F.col("clean") * w0) / float(totals[0] + totals[1])
     top = (
         sample.select("_key", "_toxic", "_text")
         .mapInArrow(count, "feature string, clean long, toxic long")
@@ -146,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     toxic = np.array([r.toxic == 1 for r in rows])
     severe = toxic & np.array([len(pointed & set(r.present)) >= SEVERE for r in rows])
     low = np.array([r.quality == 0 for r in rows])
-    chain.weights = fit_chain(x, np.stack([low, severe, toxic], 1), np.arange(len(rows)) % FOLDS)
+    chain.weights = fit_chain(x, np.stack([low, severe, toxic], 1), np.arange(len(rows)) % FOLDS, np.where(toxic, w1, w0))
     return chain
 
 
