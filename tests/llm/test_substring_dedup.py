@@ -78,3 +78,18 @@ def test_repeated_rows_are_one_document(spark):
     text = " ".join(sentence(rnd, 9) for _ in range(8))
     got = sd.remove_repeats(spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.text == text, r.n_removed > 0) for r in got) == [(1, True, False), (1, True, False), (2, False, True)]
+
+
+def test_every_passage_of_51_words_holds_a_span():
+    rnd = random.Random(7)
+    words = lambda n: [rnd.choice("abcdefghij") + str(rnd.randrange(500)) for _ in range(n)]
+    for k in range(1500):
+        ends = k % 3  # none, few, ordinary sentences
+        passage = [w + "." * (ends > 0 and rnd.random() < (0, 0.04, 0.12)[ends]) for w in words(51)]
+        if k % 2:
+            passage[-1] += "."
+        hosts = [" ".join([*words(rnd.randrange(0, 40)), *passage, *words(rnd.randrange(0, 40))]) for _ in range(2)]
+        first = {h for _, _, h in sd.spans(sd.units(hosts[0]))}
+        left, _, lost = sd.remove(hosts[1], first)
+        assert lost, passage
+        assert len(hosts[1].split()) - len(left.split()) >= 24

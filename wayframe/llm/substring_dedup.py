@@ -1,9 +1,12 @@
 """Substring dedup by sliding sentence spans.
 
 A text falls into units: sentences, where those of more than LONG words are cut
-further after words that a hash picks, so that the cuts are the same wherever
-the passage stands. A span is the shortest run of at least RUN consecutive
-units with at least WORDS words; there is one from each unit on. Spans are
+further after the word of the smallest hash of every WINDOW consecutive ones, so
+that the cuts are the same wherever the passage stands, and at most WINDOW words
+apart. A span is the shortest run of at least RUN consecutive units with at least
+WORDS words; there is one from each unit on. In a passage of 51 words the first
+shared cut comes after at most 12 words, a span from there has at most 31, and
+only the last 8 words can be cut differently: it always holds a span. Spans are
 hashed and joined over the whole corpus. What a span covers is removed unless
 it is the span's first occurrence: in the smallest key, and there the first.
 
@@ -26,9 +29,23 @@ from pyspark.sql import functions as F
 
 from wayframe.llm.common import drop_path, materialize, text_rows
 
-RUN, WORDS, LONG, CUT = 3, 24, 16, 8
+RUN, WORDS, LONG, WINDOW = 3, 24, 8, 7
 BOUNDARY = re.compile(r"[.!?]+\s+|\s*\n\s*")
-WORD = re.compile(r"\S+\s*")
+WORD = re.compile(r"[^ \t\n\r\v\f]+[ \t\n\r\v\f]*")  # as bytes.split() splits
+
+
+def cuts(words: list[bytes]) -> list[int]:
+    """How many words come before each cut: after the least hash of every WINDOW words, the last one of equal ones."""
+    h, out, best = [*map(zlib.crc32, words)], [], -1
+    for j in range(WINDOW - 1, len(h)):
+        if best <= j - WINDOW:
+            own = h[j - WINDOW + 1 : j + 1]
+            best = j - own[::-1].index(min(own))
+            out.append(best + 1)
+        elif h[j] <= h[best]:
+            best = j
+            out.append(j + 1)
+    return out if out and out[-1] == len(h) else [*out, len(h)]
 
 
 def units(text: str) -> list[tuple[int, int, int, int]]:
@@ -43,16 +60,10 @@ def units(text: str) -> list[tuple[int, int, int, int]]:
         if len(words) <= LONG:
             add(start, end, words)
         else:
-            own: list[bytes] = []
-            at = start
-            for m in WORD.finditer(text, start, end):
-                word = m.group().strip().encode("utf-8", "surrogatepass")
-                own.append(word)
-                if zlib.crc32(word) % CUT == 0 or len(own) == 2 * LONG:
-                    add(at, m.end(), own)
-                    own, at = [], m.end()
-            if at < end:
-                add(at, end, own)
+            ends, at, last = [m.end() for m in WORD.finditer(text, start, end)], start, 0
+            for cut in cuts(words):
+                add(at, ends[cut - 1], words[last:cut])
+                at, last = ends[cut - 1], cut
         start = end
     return out
 
