@@ -99,3 +99,15 @@ def test_odd_tables(spark):
     assert (r.n_tokens, r.n_known, r.train_tokens, r.score) == (3, 0, 0, 0.0)
     rows = lm.score(spark.createDataFrame([(None, "a b"), (None, None), (2, "a"), (2, "a")], schema)).collect()
     assert len(rows) == 4 and all(np.isfinite(r.score) for r in rows)
+
+
+def test_the_query_scores_with_trigrams(spark, tmp_path):
+    from wayframe.llm.entries import op7_ngram_lm
+
+    rows = corpus(60)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.score for r in op7_ngram_lm(spark, str(tmp_path)).collect()}
+    brute = Brute([t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1], 3)
+    for i, t in rows[:60]:
+        w = [b"<s>"] * 2 + split(t)
+        assert math.isclose(got[i], sum(math.log10(brute.p(w[k : k + 2], w[k + 2])) for k in range(len(w) - 2)), rel_tol=1e-9)

@@ -45,7 +45,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.score(table(spark, sf_dir, "documents"), order=2)
+    return ngram_lm.score(table(spark, sf_dir, "documents"), order=3)
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
