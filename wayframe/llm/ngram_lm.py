@@ -1,24 +1,29 @@
 """Interpolated modified Kneser-Ney language model over word hashes.
 
 Counting runs in Spark: every task reduces its n-grams to distinct ones with
-counts and sends them, packed, to shards by the hash of their context, so each
-shard has all n-grams of its contexts. A shard merges its packs, writes sorted
-hash arrays to the shared folder, and passes on what the next lower order
-needs: how many distinct n-grams end in each shorter one. Counts of counts are
-all that the driver sees. Scoring workers map the arrays into memory and look
-up the distinct n-grams of a block of texts.
-
-Files of an order and shard: keys (sorted 64-bit hashes of context and word),
-counts, contexts (sorted hashes), stats (sum of counts, how many counts of 1,
-of 2, of 3 and more).
+counts and sends them, packed, to shards by the hash of their last two words.
+All shorter n-grams that end an n-gram end in the same two words, so a shard
+makes every order down to bigrams by itself. It writes sorted hash arrays to the
+shared folder and passes on two small things, word by word and pre-aggregated:
+how often each context was followed by what, and the unigrams. A second pass
+adds these up. Shards hold SHARD bytes of text whatever the corpus, and the
+driver sees one row of sums for each. Scoring workers map the arrays into
+memory and look up the distinct n-grams of a block of texts.
+
+Files of an order and shard: keys (64-bit hashes, sorted: the low 48 bits of
+each, and in `starts` where each value of the high 16 bits begins), counts (a
+byte each; larger ones in `counts.large`, as 64-bit rows of index and value).
+Contexts followed by more than one word, once, have rows in contexts and stats
+(sum of counts, how many counts of 1, of 2, of 3 and more); any other context
+that is known has exactly that one follower. No number is cut off.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections import OrderedDict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
@@ -35,23 +40,22 @@ from wayframe.llm.near_dedup import mix, word_hashes, words_of
 
 END, START = (np.uint64(xxhash.xxh64_intdigest(x, seed=7)) for x in (b"end of text", b"start of text"))
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-FLUSH = 4_000_000
+FLUSH, SHARD = 4_000_000, 16 << 20
+LOW = np.uint64((1 << 48) - 1)
+#: Bytes of arrays that a worker holds where files can't be mapped.
+HELD = 512 << 20
 
 
 def join_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * _P + right * _Q + np.uint64(1))
 
 
-def contexts(words: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
-    """Hashes of the 1 to order-1 words before each word; texts begin at starts, with start marks before them."""
-    out: list[np.ndarray] = []
-    position = np.arange(len(words)) - np.repeat(starts, np.diff([*starts, len(words)]))
-    for j in range(1, order):
-        before = np.full(len(words), START, np.uint64)
-        there = position >= j
-        before[there] = words[np.flatnonzero(there) - j]
-        out.append(join_hash(before, out[-1]) if out else before)
-    return out
+def chained(columns: list[np.ndarray]) -> np.ndarray:
+    """Hashes of word runs, given their words from the first to the last."""
+    key = columns[0]
+    for c in columns[1:]:
+        key = join_hash(key, c)
+    return key
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -65,46 +69,79 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(starts, np.int64)
 
 
+def runs(words: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
+    """The words of every n-gram, a column for each place; start marks come before a text."""
+    position = np.arange(len(words)) - np.repeat(starts, np.diff([*starts, len(words)]))
+    out = [words]
+    for j in range(1, order):
+        before = np.full(len(words), START, np.uint64)
+        there = np.flatnonzero(position >= j)
+        before[there] = words[there - j]
+        out.append(before)
+    return out[::-1]
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key the number of its value, and an index of each value."""
+    code, found = pd.factorize(keys)
+    where = np.empty(len(found), np.int64)
+    where[code] = np.arange(len(keys))
+    return code, where
+
+
 def summed(columns: list[np.ndarray], weights: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Distinct rows of columns (contexts from the longest, then the word) by their hash, with sums of weights."""
-    key = columns[-1] if len(columns) == 1 else join_hash(columns[0], columns[-1])
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return [c[order[first]] for c in columns], [np.add.reduceat(w[order], first) if len(first) else w[:0] for w in weights]
+    """Distinct rows of word columns with sums of their weights (exact below 2^53)."""
+    code, where = distinct(chained(columns))
+    return [c[where] for c in columns], [np.bincount(code, w, len(where)).astype(np.uint64) for w in weights]
 
 
 _ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
+def _planes(a: np.ndarray, kind: str) -> bytes:
+    """First bytes of all numbers, then all second bytes and so on, which compress."""
+    return np.ascontiguousarray(a.astype(kind).view(np.uint8).reshape(len(a), -1).T).tobytes()
+
+
 def packed(columns: list[np.ndarray], weights: list[np.ndarray]) -> bytes:
-    """Rows sorted by context; the context is stored as differences, which compress."""
-    order = np.lexsort((columns[-1], columns[0]))
-    cols = [c[order] for c in columns]
-    lead = np.diff(cols[0], prepend=np.uint64(0))
-    body = [lead, *cols[1:], *(w[order] for w in weights)]
-    return len(order).to_bytes(8, "little") + _ZIP.compress(b"".join(a.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for a in body))
+    """Rows of words, which are numbered within the pack, and of numbers."""
+    n = len(columns[0])
+    code, where = distinct(np.concatenate(columns))
+    words = np.concatenate(columns)[where]
+    code = code.reshape(len(columns), n)
+    order = np.argsort(code[0], kind="stable")
+    body = [_planes(words, "<u8"), *(_planes(c[order], "<u4") for c in code), *(_planes(w[order], "<u8") for w in weights)]
+    return b"".join(x.to_bytes(8, "little") for x in (n, len(words), len(columns))) + _ZIP.compress(b"".join(body))
+
 
+def unpacked(blob: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    n, m, k = (int.from_bytes(blob[8 * i : 8 * i + 8], "little") for i in range(3))
+    data = np.frombuffer(_UNZIP.decompress(blob[24:]), np.uint8)
+    take = lambda at, count, size: np.ascontiguousarray(data[at : at + count * size].reshape(size, count).T).view(f"<u{size}").ravel()
+    words, at = take(0, m, 8), 8 * m
+    columns = [words[take(at + 4 * n * i, n, 4)] for i in range(k)]
+    at += 4 * n * k
+    return columns, [take(i, n, 8) for i in range(at, len(data), 8 * n)]
 
-def unpacked(blob: bytes, columns: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    n, data = int.from_bytes(blob[:8], "little"), _UNZIP.decompress(blob[8:])
-    body = [np.ascontiguousarray(np.frombuffer(data, np.uint8)[8 * n * i : 8 * n * (i + 1)].reshape(8, n).T).view("<u8").ravel() for i in range(len(data) // (8 * n) if n else 0)]
-    if not n:
-        return [np.zeros(0, np.uint64)] * columns, []
-    return [np.cumsum(body[0], dtype=np.uint64), *body[1:columns]], body[columns:]
 
+def merged(blobs: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    parts = [unpacked(b) for b in blobs]
+    join = lambda i: [np.concatenate(c) for c in zip(*(p[i] for p in parts), strict=True)]
+    return summed(join(0), join(1))
 
-def shard_of(lead: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(lead) % np.uint64(shards)).astype(np.int64)
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
 def by_shard(columns: list[np.ndarray], weights: list[np.ndarray], shards: int) -> Iterator[tuple[int, bytes]]:
-    shard = shard_of(columns[0], shards)
+    """Packs for the shards of the rows' last two words (of the word, where there is one)."""
+    shard = shard_of(chained(columns[-2:]), shards)
     order = np.argsort(shard, kind="stable")
     bounds = np.searchsorted(shard[order], np.arange(shards + 1))
-    for s in range(shards):
-        if (own := order[bounds[s] : bounds[s + 1]]).size:
-            yield s, packed([c[own] for c in columns], [w[own] for w in weights])
+    for s in np.unique(shard).tolist():
+        own = order[bounds[s] : bounds[s + 1]]
+        yield s, packed([c[own] for c in columns], [w[own] for w in weights])
 
 
 # --- files in the shared folder ---
@@ -126,28 +163,55 @@ def save(uri: str, array: np.ndarray) -> None:
     system.move(path, _filesystem(uri)[1])
 
 
-_MAPPED: dict[str, np.ndarray] = {}
-_COPIES: list[tempfile.TemporaryDirectory] = []
+def save_keys(at: str, keys: np.ndarray) -> None:
+    """Sorted keys."""
+    save(f"{at}/starts", np.searchsorted(keys >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64)).astype("<u8"))
+    save(f"{at}/keys", (keys & LOW).astype("<u8").view("<u2").reshape(-1, 4)[:, :3])
+
+
+def save_counts(at: str, name: str, counts: np.ndarray) -> None:
+    large = np.flatnonzero(counts >= 255)
+    save(f"{at}/{name}", np.minimum(counts, 255).astype("u1"))
+    save(f"{at}/{name}.large", np.stack([large.astype("<u8"), counts[large].astype("<u8")], 1))
+
+
+_ARRAYS: OrderedDict[str, np.ndarray] = OrderedDict()
 
 
 def mapped(uri: str, dtype: str, width: int = 1) -> np.ndarray:
-    """The array mapped into memory; from a store without local paths it is first copied to the worker's disk."""
-    if uri not in _MAPPED:
-        path = urlparse(uri).path
-        if urlparse(uri).scheme not in ("", "file"):
-            from pyarrow import fs
-
-            if not _COPIES:
-                _COPIES.append(tempfile.TemporaryDirectory())
-            path = os.path.join(_COPIES[0].name, uuid.uuid4().hex)
-            system, there = _filesystem(uri)
-            fs.copy_files(there, path, source_filesystem=system, destination_filesystem=fs.LocalFileSystem())
-        if len(_MAPPED) > 20_000:
-            _MAPPED.clear()
-        empty = os.path.getsize(path) == 0
-        flat = np.zeros(0, dtype) if empty else np.memmap(path, dtype, "r")
-        _MAPPED[uri] = flat.reshape(-1, width) if width > 1 else flat
-    return _MAPPED[uri]
+    """The array mapped into memory; of a store without local paths, its bytes, of which HELD are kept."""
+    if uri not in _ARRAYS:
+        if urlparse(uri).scheme in ("", "file"):
+            path = urlparse(uri).path
+            flat = np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+        else:
+            system, path = _filesystem(uri)
+            with system.open_input_file(path) as f:
+                flat = np.frombuffer(f.read(), dtype)
+        _ARRAYS[uri] = flat.reshape(-1, width) if width > 1 else flat
+        if len(_ARRAYS) > 20_000 or not isinstance(flat, np.memmap) and sum(a.nbytes for a in _ARRAYS.values() if not isinstance(a.base, np.memmap)) > HELD:
+            while len(_ARRAYS) > 1 and (len(_ARRAYS) > 10_000 or sum(a.nbytes for a in _ARRAYS.values()) > HELD // 2):
+                _ARRAYS.popitem(last=False)
+    _ARRAYS.move_to_end(uri)
+    return _ARRAYS[uri]
+
+
+def find(at: str, keys: np.ndarray) -> np.ndarray:
+    """Where each key stands among the sorted ones; -1 where it doesn't. A binary search within each key's high bits."""
+    body, starts = mapped(f"{at}/keys", "<u2", 3), mapped(f"{at}/starts", "<u8")
+    high, want = keys >> np.uint64(48), keys & LOW
+    low, end = starts[high].astype(np.int64), starts[high + np.uint64(1)].astype(np.int64)
+    last = len(body) - 1
+    if last < 0:
+        return np.full(len(keys), -1)
+    value = lambda i: body[i].astype(np.uint64) @ np.array([1, 1 << 16, 1 << 32], np.uint64)
+    stop = end.copy()
+    while (low < stop).any():
+        middle = (low + stop) // 2
+        less = (value(np.minimum(middle, last)) < want) & (low < stop)
+        low, stop = np.where(less, middle + 1, low), np.where(less, stop, np.minimum(middle, stop))
+    here = np.minimum(low, last)
+    return np.where((low < end) & (value(here) == want), here, -1)
 
 
 # --- the model ---
@@ -170,47 +234,72 @@ class Model:
     levels: dict[int, Order]
     train_tokens: int
     vocabulary: int
-    present: set[tuple[int, int]]  # the orders' shards that have files
-
-    def _find(self, level: int, name: str, lead: np.ndarray, keys: np.ndarray, width: int = 1) -> np.ndarray:
-        """Counts (name: counts) or stats of the keys, zero where there are none."""
-        out = np.zeros((len(keys), width), np.float64)
-        shard = shard_of(lead, self.shards)
-        order = np.lexsort((keys, shard))
-        bounds = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        for s in range(self.shards):
-            own = order[bounds[s] : bounds[s + 1]]
-            if not own.size or (level, s) not in self.present:
-                continue
-            at = f"{self.uri}/{level}/{s}"
-            there = mapped(f"{at}/{'contexts' if name == 'stats' else 'keys'}", "<u8")
+    present: set[tuple[int, int]]  # the orders' shards that have n-grams
+    explicit: set[tuple[int, int]]  # those that have rows of contexts
+
+    def _each(self, lead: np.ndarray, level: int, there: set[tuple[int, int]]) -> Iterator[tuple[str, np.ndarray]]:
+        """A shard's address and the rows that belong to it, sorted by their shards' hash."""
+        order = np.argsort(lead)
+        shard = shard_of(lead[order], self.shards)
+        for s, e in zip(b := np.flatnonzero(np.diff(shard, prepend=-1)), [*b[1:], len(shard)], strict=True):
+            if (level, int(shard[s])) in there:
+                yield f"{self.uri}/{level}/{shard[s]}", order[s:e]
+
+    def counts(self, level: int, name: str, lead: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Counts of n-grams, zero where there are none."""
+        out = np.zeros(len(keys))
+        for at, own in self._each(lead, level, self.present):
+            i = find(at, keys[own])
+            own, i = own[i >= 0], i[i >= 0]
+            value = mapped(f"{at}/{name}", "u1")[i].astype(np.float64)
+            if (full := np.flatnonzero(value == 255)).size:
+                large = mapped(f"{at}/{name}.large", "<u8", 2)
+                value[full] = large[np.searchsorted(large[:, 0], i[full].astype(np.uint64)), 1]
+            out[own] = value
+        return out
+
+    def stats(self, level: int, lead: np.ndarray, keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Sum of counts, and how many of 1, 2, and 3 and more, of contexts; known ones without a row have one follower, once."""
+        out = np.where(known[:, None], np.array([1.0, 1.0, 0.0, 0.0]), 0.0)
+        for at, own in self._each(lead, level, self.explicit):
+            there = mapped(f"{at}/contexts", "<u8")
             i = np.minimum(np.searchsorted(there, keys[own]), len(there) - 1)
-            values = mapped(f"{at}/{name}", "<u4", width)
             hit = there[i] == keys[own]
-            out[own[hit]] = values[i[hit]].reshape(-1, width)
+            size = mapped(f"{at}/stats", "u1").size // (4 * len(there))
+            out[own[hit]] = mapped(f"{at}/stats", "u1").view(f"<u{size}").reshape(-1, 4)[i[hit]]
         return out
 
-    def probabilities(self, words: np.ndarray, before: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """The model's probability of each word after its contexts, and its plain training count."""
-        word, back = np.unique(words, return_inverse=True)
-        low, raw = self.levels[1], self._find(1, "raw", word, word)[:, 0]
-        count = self._find(1, "counts", word, word)[:, 0]
+    def probabilities(self, words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The model's probability of each word after those before it in its text, and its plain training count."""
+        code, where = distinct(words)
+        word = words[where]
+        low, raw, count = self.levels[1], self.counts(1, "raw", word, word), self.counts(1, "counts", word, word)
         uniform = 1 / (self.vocabulary + 1)
         if low.total:
             gamma = (low.discounts[0] * low.ones + low.discounts[1] * low.twos + low.discounts[2] * low.more) / low.total
-            p = (_less(count, low.discounts) / low.total + gamma * uniform)[back]
+            p = (_less(count, low.discounts) / low.total + gamma * uniform)[code]
         else:
             p = np.full(len(words), uniform)
+        # An n-gram's context is the n-gram one order lower at the place before; marks stand before a text.
+        here, names, leads, mark, mark_lead = code, word, word, START, START
         for level in range(2, self.order + 1):
-            context, d = before[level - 2], self.levels[level].discounts
-            key, first, kback = np.unique(join_hash(context, words), return_index=True, return_inverse=True)
-            count = self._find(level, "counts", context[first], key)[kback, 0]
-            own, cback = np.unique(context, return_inverse=True)
-            stats = self._find(level, "stats", own, own, 4)
-            total = stats[:, 0]
-            gamma = np.where(total > 0, stats[:, 1:] @ np.array(d) / np.maximum(total, 1), 1.0)
-            p = _less(count, d) / np.maximum(total, 1)[cback] + gamma[cback] * p
-        return p, raw[back]
+            d = self.levels[level].discounts
+            before = np.empty(len(words), np.int64)
+            before[1:] = here[:-1]
+            before[starts] = len(names)
+            context, context_lead = np.append(names, mark), np.append(leads, mark_lead)
+            stats = self.stats(level, context_lead, context, np.append(count > 0, False))
+            gamma = np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(d) / np.maximum(stats[:, 0], 1), 1.0)
+            here, where = distinct(before * len(word) + code)
+            names = join_hash(context[before[where]], word[code[where]])
+            leads = names if level == 2 else leads2[pairs[where]]
+            if level == 2:
+                pairs, leads2 = here, names
+            count = self.counts(level, "counts", leads, names)
+            p = (_less(count, d) / np.maximum(stats[before[where], 0], 1))[here] + gamma[before] * p
+            mark = join_hash(np.array([mark]), np.array([START]))[0]
+            mark_lead = mark if level == 2 else mark_lead
+        return p, raw[code]
 
 
 def _less(count: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
@@ -225,14 +314,37 @@ def discounts(n: list[float]) -> tuple[float, float, float]:
     return tuple(float(min(max(x, 0.05 * k), 0.95 * k)) for k, x in enumerate(d, 1))
 
 
+def _sums(counts: np.ndarray, raw: np.ndarray) -> list[float]:
+    return [*(float((counts == k).sum()) for k in (1, 2, 3, 4)), float((counts >= 3).sum()), float(counts.sum()), float(raw.sum()), float(len(counts))]
+
+
+#: Rows between the passes: what is in a pack (the order whose contexts it counts, 1 for unigrams), or sums of an order.
+ROW = "kind string, level int, shard int, pack binary, sums array<double>"
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.float64()))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["kind", "level", "shard", "pack", "sums"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> dict[int, dict[int, list[bytes]]]:
+    """Packs by shard and level."""
+    found: dict[int, dict[int, list[bytes]]] = {}
+    for batch in batches:
+        for level, shard, pack in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("level", "shard", "pack")), strict=True):
+            found.setdefault(shard, {}).setdefault(level, []).append(pack)
+    return found
+
+
 def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) -> Model:
     """Count the texts for which uses holds and write the model to the shared folder."""
     spark = docs.sparkSession
     uri = fresh_path(spark, "ngrams")
     if "://" not in uri:
         uri = f"file://{uri}"
-    # As many shards as input partitions, whose size is bounded: a shard stays bounded too.
-    shards = max(16, docs.rdd.getNumPartitions())
+    used = docs.where(uses).select(docs[text].alias("_text"))
+    size = used.agg(F.sum(F.octet_length("_text") + F.lit(8))).first()[0] or 0
+    shards = max(1, -(-int(size) // SHARD))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -240,69 +352,84 @@ def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) ->
 
         def out() -> pa.RecordBatch:
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            columns, weights = summed(columns, [np.ones(len(columns[0]), np.uint64)])
-            rows = list(by_shard(columns, weights, shards))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "pack"])
+            held.clear()
+            columns, weights = summed(columns, [np.ones(len(columns[0]))])
+            return _rows([("n-grams", order, s, blob, None) for s, blob in by_shard(columns, weights, shards)])
 
         for batch in batches:
             for _, texts in text_rows(batch, "_text"):
                 words, starts = tokens(texts)
-                held.append([*contexts(words, starts, order)[::-1], words])
+                held.append(runs(words, starts, order))
                 size += len(words)
                 if size >= FLUSH:
                     yield out()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield out()
 
-    packs = docs.where(uses).select(docs[text].alias("_text")).mapInArrow(count, "shard int, pack binary")
-    levels: dict[int, Order] = {}
-    train_tokens = vocabulary = 0
-    made: list[str] = []
-    present: set[tuple[int, int]] = set()
-    def shard_writer(level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-        def merge(group: pd.DataFrame) -> pd.DataFrame:
-            shard = int(group["shard"].iloc[0])
-            parts = [unpacked(b, level) for b in group["pack"] if len(b)]
-            columns, weights = summed([np.concatenate(c) for c in zip(*(p[0] for p in parts), strict=True)], [np.concatenate(w) for w in zip(*(p[1] for p in parts), strict=True)])
-            # weights: counts of this order, and below the highest order the plain counts too.
-            counts, raw = weights[0], weights[-1]
-            lead, word = columns[0], columns[-1]
-            keys = word if level == 1 else join_hash(lead, word)
-            at = f"{uri}/{level}/{shard}"
-            by_key = np.argsort(keys)
-            save(f"{at}/keys", keys[by_key].astype("<u8"))
-            save(f"{at}/counts", np.minimum(counts[by_key], 0xFFFFFFFF).astype("<u4"))
-            if level == 1:
-                save(f"{at}/raw", np.minimum(raw[by_key], 0xFFFFFFFF).astype("<u4"))
-            else:
-                by_lead = np.argsort(lead, kind="stable")
-                first = np.flatnonzero(np.concatenate([[True], np.diff(lead[by_lead]) != 0]))
-                c = counts[by_lead]
-                stats = np.stack([np.add.reduceat(x.astype(np.uint64), first) for x in (c, c == 1, c == 2, c >= 3)], 1)
-                save(f"{at}/contexts", lead[by_lead][first].astype("<u8"))
-                save(f"{at}/stats", np.minimum(stats, 0xFFFFFFFF).astype("<u4"))
-            sums = [float((counts == k).sum()) for k in (1, 2, 3, 4)] + [float((counts >= 3).sum()), float(counts.sum()), float(raw.sum()), float(len(keys))]
-            rows = [(level, -1 - shard, b"", sums)]
-            if level > 1:
-                lower, w = summed(columns[1:], [np.ones(len(keys), np.uint64), raw])
-                rows += [(level, s, blob, []) for s, blob in by_shard(lower, w, shards)]
-            return pd.DataFrame(rows, columns=["level", "shard", "pack", "sums"])
-
-        return merge
-
-    for level in range(order, 0, -1):
-        out = packs.groupBy("shard").applyInPandas(shard_writer(level), "level int, shard int, pack binary, sums array<double>")
-        out, path = materialize(out, f"order{level}")
+    def orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every order down to bigrams; sums of each, partial counts of contexts, and unigrams (with their plain counts)."""
+        for shard, levels in _gathered(batches).items():
+            columns, (counts,) = merged(levels.pop(order))
+            raw = counts
+            for level in range(order, 1, -1):
+                at = f"{uri}/{level}/{shard}"
+                keys = chained(columns)
+                by_key = np.argsort(keys)
+                save_counts(at, "counts", counts[by_key])
+                save_keys(at, keys[by_key])
+                followers = [counts, counts == 1, counts == 2, counts >= 3]
+                rows = [("sums", level, shard, None, _sums(counts, raw))]
+                rows += [("contexts", level, s, blob, None) for s, blob in by_shard(*summed(columns[:-1], followers), shards)]
+                yield _rows(rows)
+                columns, (counts, raw) = summed(columns[1:], [np.ones(len(counts)), raw])
+            yield _rows([("unigrams", 1, s, blob, None) for s, blob in by_shard(columns, [counts, raw], shards)])
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Unigrams, and the contexts that don't have one follower, once."""
+        for shard, levels in _gathered(batches).items():
+            rows = []
+            for level, packs in levels.items():
+                columns, weights = merged(packs)
+                keys = chained(columns)
+                at = f"{uri}/{level}/{shard}"
+                if level == 1:
+                    by_key = np.argsort(keys)
+                    counts, raw = weights[0], weights[-1]
+                    save_counts(at, "counts", counts[by_key])
+                    save_counts(at, "raw", raw[by_key])
+                    save_keys(at, keys[by_key])
+                    rows.append(("sums", 1, shard, None, _sums(counts, raw)))
+                    continue
+                stats = np.stack(weights, 1)
+                told = np.flatnonzero((stats[:, 0] != 1) | (columns[-1] == START))
+                if told.size:
+                    told = told[np.argsort(keys[told])]
+                    save(f"{at}/contexts", keys[told].astype("<u8"))
+                    save(f"{at}/stats", stats[told].astype(next(f"<u{2**b}" for b in range(4) if stats.max() < 256 ** 2**b)))
+                    rows.append(("explicit", level, shard, None, None))
+            if rows:
+                yield _rows(rows)
+
+    packs = used.mapInArrow(count, ROW).repartitionById(shards, "shard")
+    made = []
+    if order > 1:
+        found, path = materialize(packs.mapInArrow(orders, ROW), "orders")
         made.append(path)
-        row = out.where("shard < 0").agg(*(F.coalesce(F.sum(F.col("sums")[i]), F.lit(0.0)) for i in range(8))).first()
-        n1, n2, n3, n4, more, sum_, raw, distinct = row
-        present |= {(level, -1 - r.shard) for r in out.where("shard < 0").select("shard").collect()}
-        levels[level] = Order(discounts([n1, n2, n3, n4]), sum_, n1, n2, more)
-        train_tokens, vocabulary = int(raw), int(distinct)
-        packs = out.where("shard >= 0").select("shard", "pack")
+        packs = found.where("kind <> 'sums'").repartitionById(shards, "shard")
+    last, path = materialize(packs.mapInArrow(rest, ROW), "unigrams")
+    made.append(path)
+    told = last if order == 1 else last.unionByName(found.where("kind = 'sums'"))
+    summary = told.select("kind", "level", "shard", "sums").collect()  # a row a shard and order
     drop_path(spark, *made)
-    return Model(uri, order, shards, levels, train_tokens, vocabulary, present)
+    levels: dict[int, Order] = {}
+    for level in range(1, order + 1):
+        n1, n2, n3, n4, more, sum_, raw, kinds = np.sum([np.zeros(8), *(r.sums for r in summary if r.kind == "sums" and r.level == level)], axis=0).tolist()
+        levels[level] = Order(discounts([n1, n2, n3, n4]), sum_, n1, n2, more)
+        if level == 1:
+            train_tokens, vocabulary = int(raw), int(kinds)
+    shards_with = lambda kind: {(r.level, r.shard) for r in summary if r.kind == kind}
+    return Model(uri, order, shards, levels, train_tokens, vocabulary, shards_with("sums"), shards_with("explicit"))
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -331,7 +458,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int =
         for batch in batches:
             for part, texts in text_rows(batch, "_text", 6_000_000):
                 words, starts = tokens(texts)
-                p, count = model.probabilities(words, contexts(words, starts, order))
+                p, count = model.probabilities(words, starts)
                 sizes = np.diff([*starts, len(words)])
                 total = np.add.reduceat(np.log10(p), starts)
                 cols = [
