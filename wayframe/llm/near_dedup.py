@@ -10,9 +10,11 @@ are confirmed on their full sets.
 A bucket of m nodes isn't paired off. First every node meets the bucket's pivot
 alone: m - 1 pairs. Only buckets that the confirmed links leave in several
 components go on: their nodes outside of the bucket's largest component meet
-all others, in blocks of BLOCK that confirm in place and give joining links alone. No link between nodes that share a bucket, and
-that the components need, is lost; a pair at the threshold shares none with a
-chance of (1 - 0.8^4)^32 = 5e-8.
+all others, in blocks of BLOCK that confirm in place and give joining links
+alone: pairs that pass the sketch may be as many as the square of the bucket, so
+they are never written. No link between nodes that share a bucket, and that the
+components need, is lost; a pair at the threshold shares none with a chance of
+(1 - 0.8^4)^32 = 5e-8. Buckets, pivots and classes of any size are split.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayframe.llm.common import components, drop_path, materialize, text_rows
+from wayframe.llm.common import components, drop_path, materialize, spread_join, text_rows
 
 K, BANDS, BITS = 128, 32, 512
 ROWS = K // BANDS
@@ -162,12 +164,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, text: str, ids: DataFrame, key
     pairs, p0 = materialize(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets, p1 = materialize(_full_sets(docs, text, nodes, ids, key, size), "sets")
-    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
+    # A pivot may have any number of pairs; b has one for each band at most.
+    pivots, p2 = materialize(pairs.groupBy("a").agg(F.count("*").alias("n")).join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a"), "pivot-sets")
+    both = spread_join(pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"), pivots, ["a"], "n", "b")
     common = F.size(F.array_intersect("sa", "sb"))
     links = both.select("a", "b", common.alias("i"), (F.size("sa") + F.size("sb")).alias("n")).where(F.col("i") * share[1] >= (F.col("n") - F.col("i")) * share[0])
-    links, p2 = materialize(links.select("a", "b"), "confirmed")
-    drop_path(pairs.sparkSession, p0, p1)
-    return links, [p2]
+    links, p3 = materialize(links.select("a", "b"), "confirmed")
+    drop_path(pairs.sparkSession, p0, p1, p2)
+    return links, [p3]
 
 
 def _meet(share: tuple[int, int]) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -208,6 +212,19 @@ def _meet(share: tuple[int, int]) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return meet
 
 
+def _open_links(rooted: DataFrame, open_: DataFrame, reps: DataFrame, docs: DataFrame, text: str, ids: DataFrame, key: str, size: int, share: tuple[int, int]) -> DataFrame:
+    """Links (a, b) that join components within the open buckets, found in blocks of bounded size."""
+    rows = spread_join(rooted, open_, ["band"], "n", "node")
+    rows, _ = materialize(rows, "open")
+    sets, _ = materialize(_full_sets(docs, text, rows.select("node").distinct(), ids, key, size), "open-sets")
+    rows = rows.join(reps.select("node", "sketch").join(sets, "node"), "node")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    base = rows.select("band", "node", "root", "sketch", "set", own("blocks").alias("i"), each("probe_blocks").alias("j"), F.lit(False).alias("probe"))
+    probes = rows.where("root <> main").select("band", "node", "root", "sketch", "set", each("blocks").alias("i"), own("probe_blocks").alias("j"), F.lit(True).alias("probe"))
+    return base.union(probes).groupBy("band", "i", "j").applyInPandas(_meet(share), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, share: tuple[int, int] = (80, 100)) -> DataFrame:
     """Classes of documents linked by a Jaccard similarity of at least share of their shingle sets.
 
@@ -218,44 +235,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     linked with nothing. Rows with a null key take no part: component_id is
     null and kept true. Rows that share a key are each judged by their own text.
     Texts of any length count whole. An empty table gives no rows. Equal sets
-    are one node, so copies never meet in pairs.
+    are one node, so copies never meet in pairs. Further columns aren't read,
+    whatever their names.
     """
     spark = docs.sparkSession
-    marks, _ = materialize(signatures(docs, key, text, size), "signatures")
+    marks, marks_path = materialize(signatures(docs, key, text, size), "signatures")
     known = marks.where("id is not null and node is not null")
     reps, reps_path = materialize(known.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
     in_bands = reps.select("node", F.explode("bands").alias("band"))
-    shared = in_bands.groupBy("band").agg(F.count("*").alias("m"), F.min("node").alias("pivot")).where("m > 1")
-    buckets, buckets_path = materialize(in_bands.join(shared, "band"), "buckets")
+    shared, shared_path = materialize(in_bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1").withColumn("m", F.col("n")), "bands")
+    buckets, buckets_path = materialize(spread_join(in_bands, shared, ["band"], "n", "node"), "buckets")
     ids = known.select("node", "id")
 
-    sketch = lambda name: reps.select(F.col("node").alias(name), F.col("sketch").alias(f"s{name}"))
-    pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = pairs.join(sketch("b"), "b").join(sketch("a"), "a").where(_alike("sa", "sb")).select("a", "b")
+    first_pairs, first_path = materialize(buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "first-pairs")
+    pivots, pivots_path = materialize(first_pairs.groupBy("a").agg(F.count("*").alias("n")).join(reps.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a"), "pivots")
+    pairs = spread_join(first_pairs.join(reps.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b"), pivots, ["a"], "n", "b").where(_alike("sa", "sb")).select("a", "b")
     links, paths = _confirmed(pairs, docs, text, ids, key, size, share)
 
     # Buckets of three or more nodes that aren't yet one component.
     roots, roots_path = materialize(components(links), "roots")
     root = F.coalesce("component", F.col("node")).alias("root")
-    rows = buckets.where("m > 2").join(roots, "node", "left").select("band", "node", root)
-    sizes = rows.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main"))
+    rooted, rooted_path = materialize(buckets.where("m > 2").select("band", "node").join(roots, "node", "left").select("band", "node", root), "rooted")
+    sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main"))
     rest = F.col("m") - F.col("most")
-    open_ = sizes.where("parts > 1").select("band", "main", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil(rest / BLOCK).cast("int").alias("probe_blocks"))
-    rows, rows_path = materialize(rows.join(open_, "band"), "open")
-    sets, sets_path = materialize(_full_sets(docs, text, rows.select("node").distinct(), ids, key, size), "open-sets")
-    rows = rows.join(reps.select("node", "sketch").join(sets, "node"), "node")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    base = rows.select("band", "node", "root", "sketch", "set", own("blocks").alias("i"), each("probe_blocks").alias("j"), F.lit(False).alias("probe"))
-    probes = rows.where("root <> main").select("band", "node", "root", "sketch", "set", each("blocks").alias("i"), own("probe_blocks").alias("j"), F.lit(True).alias("probe"))
-    more = base.union(probes).groupBy("band", "i", "j").applyInPandas(_meet(share), "a long, b long").distinct()
-    more, more_path = materialize(more, "more")
-    roots2, roots2_path = materialize(components(links.union(more)), "roots")
-    drop_path(spark, buckets_path, reps_path, roots_path, rows_path, sets_path, more_path, *paths)
-
-    placed = marks.select("id", "n_shingles", "node").join(roots2, "node", "left").withColumn("root", F.coalesce("component", F.col("node")))
-    placed = placed.withColumn("root", F.when(F.col("id").isNull(), None).otherwise(F.col("root")))
-    first = placed.where("root is not null").groupBy("root").agg(F.min("id").alias("first"))
-    component = F.coalesce("first", F.col("id"))
-    out = placed.select("id", "n_shingles", "root").join(first, "root", "left")
-    return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    open_, open_path = materialize(sizes.where("parts > 1").select("band", "main", F.col("m").alias("n"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil(rest / BLOCK).cast("int").alias("probe_blocks")), "open-bands")
+    drop = [buckets_path, shared_path, first_path, pivots_path, rooted_path]
+    if not open_.isEmpty():
+        more, more_path = materialize(_open_links(rooted, open_, reps, docs, text, ids, key, size, share), "more")
+        drop += [roots_path, more_path]
+        roots, roots_path = materialize(components(links.union(more)), "roots")
+    drop_path(spark, reps_path, open_path, *drop, *paths)
+
+    placed = marks.select("id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.when(F.col("id").isNotNull(), F.coalesce("component", F.col("node"))))
+    placed, placed_path = materialize(placed.select("id", "n_shingles", "root"), "placed")
+    first, _ = materialize(placed.where("root is not null").groupBy("root").agg(F.min("id").alias("first"), F.count("*").alias("n")), "firsts")
+    drop_path(spark, marks_path, roots_path)
+    out = spread_join(placed, first, ["root"], "n", "id").select("id", "n_shingles", F.col("first").alias("component"))
+    out = out.union(placed.where("root is null").select("id", "n_shingles", F.col("id").alias("component")))
+    return out.select(F.col("id").alias(key), "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
