@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import re
+import warnings
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -67,6 +68,11 @@ class WordEncoder:
         self.alphabet = byte_alphabet()
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        # The short way must be this file's: what it splits and lower-cases is tried out.
+        for word in ("it's", "a1b22", "x--(y)", "naïve", "ÜBER42%", "foo.bar_baz"):
+            self.learn([w := word.encode().lower()])
+            if self.known.pop(w) != np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes():
+                raise ValueError(f"{path} splits or normalises words in another way")
 
     def part(self, part: str) -> bytes:
         if not part.isascii():
@@ -142,6 +148,8 @@ def fractional_patterns(demand: np.ndarray, capacity: int, gap: float = 2e-4, ro
 
     demand[i]: pieces of length i, 1 <= i <= capacity. Revised simplex on the
     covering program; new columns come from the knapsack over its dual prices.
+    Should the rounds run out, the patterns found so far serve: sequences are
+    then less full, and a warning says so.
     """
     used = np.flatnonzero(demand)
     if not len(used):
@@ -166,6 +174,8 @@ def fractional_patterns(demand: np.ndarray, capacity: int, gap: float = 2e-4, ro
         if not np.isfinite(ratio[out]):
             break
         basis[:, out] = column
+    else:
+        warnings.warn(f"column generation stopped after {rounds} rounds", stacklevel=2)
     x = np.linalg.solve(basis, need)
     found = []
     for k in range(len(used)):
@@ -293,6 +303,7 @@ def pack(docs: DataFrame, encode: Callable[[list[str]], list[bytes]], end_id: in
     repeated rows are packed each by itself. Ties in length are ranked by where
     they were read, which changes who is where but not how many sequences there
     are. An empty table gives an empty result. Texts of any length are cut.
+    Further columns aren't read, whatever their names.
     """
     spark = docs.sparkSession
     cutouts, _ = materialize(pieces(docs, encode, end_id, key, text, budget, unit, emit_ids), "pieces")

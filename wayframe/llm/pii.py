@@ -1,14 +1,15 @@
 """Personal data: exact base patterns, and credentials found by weak supervision.
 
 Four kinds have patterns whose matches are taken as they are. Further candidate
-tokens (those with a digit or an at sign outside of the base matches) get votes
+tokens (those with a digit or an at sign, or assigned to a cue word, outside of the base matches) get votes
 from labelers: patterns, a gazetteer of cue words, and context. Expectation
 maximisation over the counts of vote patterns in the whole corpus estimates how
 reliable each labeler is, without labels. The posteriors train a logistic
 classifier over the candidates' features, which decides on the added spans.
 
-Both models see only counts of (votes, features) patterns: at most 3^6 * 2^8
-rows, summed in every task before the shuffle, whatever the corpus.
+Both models see only counts of (votes, features) patterns, which are summed in
+every task before the shuffle. The votes follow from few of the features and
+length, so of 2^14 feature patterns a few thousand occur, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -97,18 +98,21 @@ def base_spans(text: str) -> list[Span]:
 
 # --- candidates, votes and features ---
 
-CUES = frozenset("password passwd pwd secret token key apikey auth credential credentials bearer login pin ssn passport iban".split())
-PLAIN = frozenset("version page chapter section cc by nc sa license figure table volume no number year since".split())
+#: Gazetteers of words that name credentials, and of words before plain numbers.
+CUES = frozenset("password passwd pwd passphrase passcode pass secret token key apikey accesskey privatekey auth authorization credential credentials bearer login pin otp ssn passport iban account cvv passwort kennwort geheimnis schlüssel zugang contraseña clave mot clé jeton identifiant".split())
+PLAIN = frozenset("version v page pages chapter section cc by nc sa license licence figure fig table volume vol no number year since article part edition seite kapitel abschnitt band jahr version chapitre tome numéro année isbn doi rfc iso".split())
 ASSIGNED = re.compile(r"([A-Za-z_]+)\s*[=:]\s*[\"']?\Z")
 INSIDE = re.compile(r"([A-Za-z_]{1,40})[=:](?=[\"']?[A-Za-z0-9+/_-]{6,})")
 KEY_ID = re.compile(r"[A-Z]{4}[0-9A-Z]{16}\Z")
 HEX = re.compile(r"[0-9a-f]{16,}\Z")
 NUMBER = re.compile(r"[0-9]{1,6}(?:[.,:/%-][0-9]{0,6})*[%.]?\Z")
-VOTERS = 6
+VOWELS = frozenset("aeiouyAEIOUY")
+NAMED = re.compile(r"([^\W\d_]{3,20})[\"']?\s{0,2}[:=]\s{0,2}(?=\S{6})")
+VOTERS, FEATURES = 6, 14
 EDGE = "\"'()[]{}<>.,;:!?"
 
 
-def tokens(text: str) -> Iterator[tuple[int, int]]:
+def marked(text: str) -> Iterator[tuple[int, int]]:
     """Runs without white space that hold a digit or an at sign."""
     end, m = 0, MARKED.search(text)
     while m:
@@ -121,6 +125,24 @@ def tokens(text: str) -> Iterator[tuple[int, int]]:
         m = MARKED.search(text, end)
 
 
+def tokens(text: str) -> list[tuple[int, int]]:
+    """The marked runs, and those that a cue word is assigned to or followed by, in order and without overlaps."""
+    found = list(marked(text))
+    if ":" in text or "=" in text:
+        for m in NAMED.finditer(text):
+            if m.group(1).lower() in CUES:
+                after = SPACE.search(text, m.end())
+                found.append((m.end(), after.start() if after else len(text)))
+        found.sort()
+    out: list[tuple[int, int]] = []
+    for start, end in found:
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int, tuple[int, ...], int]]:
     """(start, end, votes, features) of each candidate token; votes are -1, 0 or 1."""
     k = 0
@@ -153,10 +175,13 @@ def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int, tuple[in
             1 if mixed and len(value) >= 14 else -1 if len(value) < 8 else 0,  # form: long and mixed
             -1 if not letters and not name else 0,  # form: no letters, not assigned
         )
-        features = sum(
-            bit << i
-            for i, bit in enumerate((mixed, len(value) >= 8, len(value) >= 14, name in CUES, word in CUES, word in PLAIN, value.isupper(), bool(HEX.match(value))))
+        capitals, small = any(c.isupper() for c in value), any(c.islower() for c in value)
+        share = sum(c.isdigit() for c in value) / len(value)
+        signs = (
+            mixed, len(value) >= 8, len(value) >= 14, len(value) >= 24, name in CUES, word in CUES, word in PLAIN, bool(name),
+            capitals and small, value.isupper(), share >= 0.3, any(c in "+/=_-" for c in value), sum(c in VOWELS for c in value) < 0.2 * len(value), bool(HEX.match(value)),
         )
+        features = sum(bool(bit) << i for i, bit in enumerate(signs))
         yield start, end, votes, features
 
 
@@ -200,7 +225,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 
 def bits(features: np.ndarray) -> np.ndarray:
-    return (features[:, None] >> np.arange(8) & 1).astype(float)
+    return (features[:, None] >> np.arange(FEATURES) & 1).astype(float)
 
 
 def fit(docs: DataFrame, text: str = "text") -> np.ndarray | None:
@@ -223,7 +248,7 @@ def fit(docs: DataFrame, text: str = "text") -> np.ndarray | None:
     features, counts = np.array([r.features for r in rows]), np.array([r.n for r in rows], float)
     posterior = Votes(votes, counts).posterior(votes)
     w = logistic(bits(features), posterior, counts, ridge=max(1 / counts.sum(), 1e-9))
-    return 1 / (1 + np.exp(-np.clip(np.hstack([bits(np.arange(256)), np.ones((256, 1))]) @ w, -30, 30)))
+    return 1 / (1 + np.exp(-np.clip(np.hstack([bits(np.arange(1 << FEATURES)), np.ones((1 << FEATURES, 1))]) @ w, -30, 30)))
 
 
 def spans_of(text: str, chance: np.ndarray | None) -> list[Span]:
@@ -251,7 +276,8 @@ def find(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
 
     One row for each row. A null text counts as empty in the counts and stays
     null when masked. Repeated rows are each searched by themselves; columns not
-    named aren't read. Offsets are code points. An empty table gives no rows.
+    named aren't read. Offsets are code points. Texts of any length count whole,
+    in linear time. An empty table gives no rows.
     """
     chance = fit(docs, text)
     fields = [docs.schema[k] for k in keep]

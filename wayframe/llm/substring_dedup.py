@@ -97,8 +97,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", run
     One row for each row. A null text stays null, with zero units. Rows with a
     null key take no part and keep their texts. Rows that share a key are one
     document: a span that only they have isn't repeated. A repetition within a
-    text goes, its first occurrence stays. Texts shorter than a span are kept.
-    Further columns are carried, whatever their names; an empty table gives none.
+    text goes, its first occurrence stays. Texts shorter than a span are kept;
+    texts of any length count whole. Further columns are carried, whatever their
+    names, but those named n_units and n_removed give way to the operator's. An
+    empty table gives none.
     """
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()

@@ -11,9 +11,11 @@ labels at any table size. Features are words and word beginnings; the FEATURES
 with the largest weighted chi-square are kept. Scoring reads every word of every
 text, in one pass without a shuffle.
 
-The label table has one toxicity label and one of quality. The categories are
-low_quality (quality 0), severe (toxic, with at least SEVERE indicative
-features) and toxic, predicted in this order; a document is rejected by toxic.
+The label table has one toxicity label. Finer categories are labelled from it
+weakly: a toxic document is an insult where it has a word of INSULTS, which name
+a person, and contempt where it has one of CONTEMPT, which belittle. The chain
+predicts insult, contempt and toxic in this order, from features that the labels
+alone select; a document is rejected by toxic.
 """
 
 from __future__ import annotations
@@ -31,11 +33,13 @@ from pyspark.sql import functions as F
 from wayframe.llm.common import drop_path, materialize, text_rows
 from wayframe.llm.pii import logistic
 
-CATEGORIES = ("low_quality", "severe", "toxic")
+CATEGORIES = ("insult", "contempt", "toxic")
+#: Words that label the finer categories among toxic documents.
+INSULTS = frozenset("idiot idiots moron morons fool fools jerk jerks loser losers clown clowns scum bastard pig coward liar cretin imbecile trash".split())
+CONTEMPT = frozenset("stupid dumb worthless pathetic disgusting useless ugly filthy vile despicable ridiculous contemptible repulsive hateful".split())
 SAMPLE = 6_000
 FEATURES = 256
 LEAST = 5
-SEVERE = 3
 FOLDS = 4
 WORD = re.compile(r"\w+")
 
@@ -90,10 +94,10 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, weight: np.nd
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Chain | None:
     """The chain from labelled documents; None where a class has none of them."""
     marks = (
-        labels.select(labels[key].alias("_key"), labels["toxic"].alias("_toxic"), labels["quality"].alias("_quality"))
+        labels.select(labels[key].alias("_key"), labels["toxic"].cast("int").alias("_toxic"))
         .where("_key is not null and _toxic is not null")
         .groupBy("_key")
-        .agg(F.max("_toxic").alias("_toxic"), F.min(F.coalesce("_quality", F.lit(1))).alias("_quality"))
+        .agg(F.max("_toxic").alias("_toxic"))
     )
     known = marks.join(docs.select(docs[key].alias("_key")).where("_key is not null").distinct(), "_key", "left_semi")
     totals = dict(known.groupBy("_toxic").count().collect())
@@ -101,8 +105,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     picked, picked_path = materialize(ids[0].union(ids[1]), "picked")
     sample = (
         docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
-        .join(F.broadcast(picked), "_key")  # at most 2 * SAMPLE rows of three numbers
-        .groupBy("_key", "_toxic", "_quality")
+        .join(F.broadcast(picked), "_key")  # at most 2 * SAMPLE rows of two numbers
+        .groupBy("_key", "_toxic")
         .agg(F.max("_text").alias("_text"))
     )
     sample, path = materialize(sample, "sample")
@@ -128,29 +132,29 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         .mapInArrow(count, "feature string, clean long, toxic long")
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where((F.col("toxic") + F.col("clean") >= LEAST) & (mean < 0.5))
+        .where((F.col("toxic") + F.col("clean") >= LEAST) & (F.col("clean") < n0 / 2))
         .orderBy((gap * gap / (mean * (1 - mean))).desc(), "feature")
         .limit(FEATURES)
         .collect()
     )
     chain = Chain({r.feature: i for i, r in enumerate(top)}, [])
-    pointed = {i for i, r in enumerate(top) if r.toxic / n1 > 5 * (r.clean + 1) / n0}
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_rows(batch, "_text"):
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array([chain.present(t) for t in texts], pa.list_(pa.int32()))], names=["key", "toxic", "quality", "present"])
+                words = [set(WORD.findall(t.lower())) for t in texts]
+                kinds = [pa.array([not w.isdisjoint(k) for w in words]) for k in (INSULTS, CONTEMPT)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *kinds, pa.array([chain.present(t) for t in texts], pa.list_(pa.int32()))], names=["key", "toxic", "insult", "contempt", "present"])
 
-    rows = sample.select(F.xxhash64("_key").alias("key"), "_toxic", "_quality", "_text").mapInArrow(mark, "key long, toxic int, quality int, present array<int>").collect()
+    rows = sample.select(F.xxhash64("_key").alias("key"), "_toxic", "_text").mapInArrow(mark, "key long, toxic int, insult boolean, contempt boolean, present array<int>").collect()
     drop_path(docs.sparkSession, picked_path, path)
     rows.sort(key=lambda r: r.key)
     x = np.zeros((len(rows), len(top)))
     for i, r in enumerate(rows):
         x[i, r.present] = 1
     toxic = np.array([r.toxic == 1 for r in rows])
-    severe = toxic & np.array([len(pointed & set(r.present)) >= SEVERE for r in rows])
-    low = np.array([r.quality == 0 for r in rows])
-    chain.weights = fit_chain(x, np.stack([low, severe, toxic], 1), np.arange(len(rows)) % FOLDS, np.where(toxic, w1, w0))
+    finer = [toxic & np.array([r[c] for r in rows]) for c in CATEGORIES[:-1]]
+    chain.weights = fit_chain(x, np.stack([*finer, toxic], 1), np.arange(len(rows)) % FOLDS, np.where(toxic, w1, w0))
     return chain
 
 
@@ -159,9 +163,10 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
     One row for each row of docs, repeated ones too. A null text counts as
     empty. Labels that are null, or of documents that aren't there, are left
-    out; where a document has several, the largest toxic and the smallest
-    quality hold. Without a labelled document of both classes nothing can be
-    learned: probabilities are null and toxic is false.
+    out; where a document has several, the largest holds. Without a labelled
+    document of both classes nothing can be learned: probabilities are null and
+    toxic is false. Texts of any length count whole; columns not named aren't
+    read; an empty table gives no rows.
     """
     chain = train(docs, labels, key, text)
     if chain is None:

@@ -17,7 +17,7 @@ import os
 import struct
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -110,12 +110,15 @@ class BundleReader:
 
 
 def record_id(key: object) -> str:
-    return f"<urn:x-record:{'none' if key is None else key}>"
+    """Integers as they are, other keys as quoted text; a null key is none (the text "none" is quoted in full)."""
+    if key is None:
+        return "<urn:x-record:none>"
+    return f"<urn:x-record:{key if isinstance(key, int) else 'text:' + quote(str(key), safe='')}>"
 
 
-def key_of(name: str) -> int | None:
+def key_of(name: str) -> int | str | None:
     value = name[len("<urn:x-record:") : -1]
-    return None if value == "none" else int(value)
+    return None if value == "none" else unquote(value[5:]) if value.startswith("text:") else int(value)
 
 
 def make_record(key: object, url: str | None, payload: bytes, digest: str, refers_to: object, date: str) -> bytes:
@@ -158,7 +161,8 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     the others are revisits of it; all other rows are responses. A null payload
     counts as empty, a null url is left out. Rows with a null key are revisits if
     another row with a key has their payload, else responses. Repeated rows with
-    the smallest key are responses each. An empty table writes nothing.
+    the smallest key are responses each. An empty table writes nothing. Keys are
+    integers or strings; further columns aren't read, whatever their names.
 
     A bundle's name is new in every attempt of a task, and the index names those
     of the attempts that counted, so tasks may run again.
@@ -239,12 +243,12 @@ def read(index: DataFrame, key: str = "page_id", payloads: bool = True) -> DataF
                         yield _rows(rows, payloads)
 
     def _rows(rows: list[tuple], payloads: bool) -> pa.RecordBatch:
-        number = {"int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}.get(kind, pa.int64())
+        number = {"int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8(), "string": pa.string()}.get(kind, pa.int64())
         types = [number, pa.int64(), pa.string(), pa.string(), number, *[pa.binary()] * payloads]
         names = ["key", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payloads]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=False)], names=names)
 
-    return by_bundle.repartition(max(1, min(1000, index.select("bundle").distinct().count()))).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return by_bundle.repartition(max(1, index.select("bundle").distinct().count())).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", payloads: bool = True) -> DataFrame:
