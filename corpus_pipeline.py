@@ -2,8 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's docs. All but the last return the
-columns of documents. Null and empty texts, repeated rows, null ids and empty
-tables are handled as the operators' docstrings say.
+columns of documents, whatever further ones there are. Rows with null or empty
+texts or null ids stay rows (a null text stays null until it is packed as the end
+id alone); repeated rows are judged each, and the near-duplicate stage keeps one;
+empty tables give empty results; texts of any length count whole. Without
+labels no document is toxic.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayframe.llm import near_dedup, packing, pii, substring_dedup, toxicity
-from wayframe.llm.common import fresh_path, table
+from wayframe.llm.common import drop_path, fresh_path, materialize, table
 from wayframe.llm.entries import tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,10 +28,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates (five words, similarity 0.8): that of the smallest id."""
-    classes = near_dedup.near_duplicates(docs, size=5, share=(80, 100))
-    gone = classes.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti").select(*COLUMNS)
+    """One document of each class of near duplicates (five words, similarity 0.8): that of the smallest id.
+
+    Rows are judged and dropped by id and text, so of several rows with one id
+    only those linked to a smaller one go; of rows equal in both one stays. Rows
+    with a null id, and those without words, stay.
+    """
+    named = docs.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))))
+    classes, _ = materialize(near_dedup.near_duplicates(named, key="_row", size=5, share=(80, 100)).where("_row is not null and n_shingles > 0"), "classes")
+    left = named.join(classes.where(~F.col("kept")).select("_row").distinct(), "_row", "left_anti")
+    again = classes.where("kept").groupBy("_row").agg(F.count("*").alias("_n")).where("_n > 1").select("_row")
+    one = left.join(again, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*COLUMNS)).alias("_one")).select("_one.*")
+    return left.join(again, "_row", "left_anti").select(*COLUMNS).unionByName(one)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +57,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens."""
-    return packing.pack(docs, packing.word_encoder(tokenizer_file("word_bpe_49k.json")), end_id=2, emit_ids=False)
+    """Pieces of documents in sequences of 4096 tokens, with their token ids."""
+    return packing.pack(docs, packing.word_encoder(tokenizer_file("word_bpe_49k.json")), end_id=2)
 
 
 STAGES = [
@@ -64,9 +75,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over documents; each stage's output is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            drop_path(spark, last)
+        last = path
     return docs

@@ -67,3 +67,27 @@ def test_stages(spark, corpus, tmp_path):
     assert pii.KINDS[-1] == "secret"
     again = cp.run(spark, folder)
     assert again.count() == len(rows)
+
+
+def test_odd_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _row int, toxic string, component_id long"
+    words = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, words), (5, words), (5, other), (7, other + " tail"), (7, other + " tail"), (None, words), (None, None), (8, ""), (8, ""), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 1, "x", 3) for i, t in rows], schema)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    left = sorted(((r.doc_id, r.text) for r in cp.drop_near_copies(spark, docs, str(tmp_path)).collect()), key=str)
+    assert left == sorted([(1, words), (5, other), (None, words), (None, None), (8, ""), (8, ""), (9, None)], key=str)
+    once = docs.where("doc_id = 7").union(docs.where("doc_id = 1"))
+    assert sorted(r.doc_id for r in cp.drop_near_copies(spark, once, str(tmp_path)).collect()) == [1, 7]
+    out = cp.run(spark, str(tmp_path)).collect()
+    assert len({(r.doc_id, r.sequence_id, r.offset) for r in out}) == len(out) and all(len(r.ids) == 4 * r.length for r in out)
+    assert sum(r.doc_tokens == 1 for r in out) == 4
+
+
+def test_an_empty_corpus(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert cp.run(spark, str(tmp_path)).count() == 0
