@@ -60,8 +60,9 @@ def corpus(n=120):
     return [*rows, (900, None), (901, ""), (902, "never seen words é"), (903, "w1 " * 20_000)]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_against_brute_force(spark, order):
+@pytest.mark.parametrize("order, shard", [(1, 1500), (2, 1500), (3, lm.SHARD), (3, 1500), (4, 30_000)])
+def test_against_brute_force(spark, monkeypatch, order, shard):
+    monkeypatch.setattr(lm, "SHARD", shard)
     rows = corpus()
     docs = spark.createDataFrame([(i, t, 1.0, "q") for i, t in rows], "doc_id long, text string, score double, shard string").repartition(3)
     got = {r.doc_id: r for r in lm.score(docs, order=order).collect()}

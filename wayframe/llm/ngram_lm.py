@@ -1,21 +1,24 @@
 """Interpolated modified Kneser-Ney language model over word hashes.
 
 Counting runs in Spark: every task reduces its n-grams to distinct ones with
-counts and sends them, packed, to shards by the hash of their last two words.
-All shorter n-grams that end an n-gram end in the same two words, so a shard
-makes every order down to bigrams by itself. It writes sorted hash arrays to the
-shared folder and passes on two small things, word by word and pre-aggregated:
-how often each context was followed by what, and the unigrams. A second pass
-adds these up. Shards hold SHARD bytes of text whatever the corpus, and the
-driver sees one row of sums for each. Scoring workers map the arrays into
-memory and look up the distinct n-grams of a block of texts.
+counts and sends them, packed, to shards by the hash of their last word but one.
+So a shard has all n-grams that end alike and all that share a context: it makes
+every order down to bigrams, and the counts of contexts, by itself, and writes
+sorted hash arrays to the shared folder. Words with more than a shard's share of
+all tokens (told from a sample, which decides on nothing else) are hot, and so is
+the start mark: n-grams with one of them in that place are spread by their last
+two words, and the partial counts of their contexts are summed in a second pass,
+as are unigrams. Shards hold SHARD bytes of text whatever the corpus; the driver
+sees one row of sums for each and at most one hot word for each. Scoring workers
+map the arrays into memory and look up the distinct n-grams of a block of texts.
 
 Files of an order and shard: keys (64-bit hashes, sorted: the low 48 bits of
 each, and in `starts` where each value of the high 16 bits begins), counts (a
 byte each; larger ones in `counts.large`, as 64-bit rows of index and value).
 Contexts followed by more than one word, once, have rows in contexts and stats
-(sum of counts, how many counts of 1, of 2, of 3 and more); any other context
-that is known has exactly that one follower. No number is cut off.
+(sum of counts, how many counts of 1, of 2, of 3 and more), those that end in hot
+words in files of their own; any other context that is known has exactly that
+one follower. No number is cut off.
 """
 
 from __future__ import annotations
@@ -108,9 +111,12 @@ def packed(columns: list[np.ndarray], weights: list[np.ndarray]) -> bytes:
     n = len(columns[0])
     code, where = distinct(np.concatenate(columns))
     words = np.concatenate(columns)[where]
-    code = code.reshape(len(columns), n)
-    order = np.argsort(code[0], kind="stable")
-    body = [_planes(words, "<u8"), *(_planes(c[order], "<u4") for c in code), *(_planes(w[order], "<u8") for w in weights)]
+    by_hash = np.argsort(words)
+    number = np.empty(len(words), np.int64)
+    number[by_hash] = np.arange(len(words))
+    code = number[code].reshape(len(columns), n)
+    order = np.argsort(code[max(0, len(columns) - 2)], kind="stable")
+    body = [_planes(np.diff(words[by_hash], prepend=np.uint64(0)), "<u8"), *(_planes(c[order], "<u4") for c in code), *(_planes(w[order], "<u8") for w in weights)]
     return b"".join(x.to_bytes(8, "little") for x in (n, len(words), len(columns))) + _ZIP.compress(b"".join(body))
 
 
@@ -118,7 +124,7 @@ def unpacked(blob: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
     n, m, k = (int.from_bytes(blob[8 * i : 8 * i + 8], "little") for i in range(3))
     data = np.frombuffer(_UNZIP.decompress(blob[24:]), np.uint8)
     take = lambda at, count, size: np.ascontiguousarray(data[at : at + count * size].reshape(size, count).T).view(f"<u{size}").ravel()
-    words, at = take(0, m, 8), 8 * m
+    words, at = np.cumsum(take(0, m, 8), dtype=np.uint64), 8 * m
     columns = [words[take(at + 4 * n * i, n, 4)] for i in range(k)]
     at += 4 * n * k
     return columns, [take(i, n, 8) for i in range(at, len(data), 8 * n)]
@@ -134,9 +140,18 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def by_shard(columns: list[np.ndarray], weights: list[np.ndarray], shards: int) -> Iterator[tuple[int, bytes]]:
-    """Packs for the shards of the rows' last two words (of the word, where there is one)."""
-    shard = shard_of(chained(columns[-2:]), shards)
+def among(words: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Whether each word is one of the hot ones, which are sorted."""
+    return hot[np.minimum(np.searchsorted(hot, words), len(hot) - 1)] == words
+
+
+def leads(before: np.ndarray, last: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """What an n-gram's shard follows from: its last word but one, with the last one where that is hot."""
+    return np.where(among(before, hot), join_hash(before, last), before)
+
+
+def by_shard(lead: np.ndarray, columns: list[np.ndarray], weights: list[np.ndarray], shards: int) -> Iterator[tuple[int, bytes]]:
+    shard = shard_of(lead, shards)
     order = np.argsort(shard, kind="stable")
     bounds = np.searchsorted(shard[order], np.arange(shards + 1))
     for s in np.unique(shard).tolist():
@@ -165,10 +180,17 @@ def save(uri: str, array: np.ndarray) -> None:
 
 def save_keys(at: str, keys: np.ndarray) -> None:
     """Sorted keys."""
-    save(f"{at}/starts", np.searchsorted(keys >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64)).astype("<u8"))
+    save(f"{at}/starts", np.searchsorted(keys >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64)).astype("<u4"))
     save(f"{at}/keys", (keys & LOW).astype("<u8").view("<u2").reshape(-1, 4)[:, :3])
 
 
+def save_stats(at: str, suffix: str, keys: np.ndarray, stats: np.ndarray) -> None:
+    """Rows of contexts in the narrowest numbers that hold them all."""
+    by_key = np.argsort(keys)
+    save(f"{at}/contexts{suffix}", keys[by_key].astype("<u8"))
+    save(f"{at}/stats{suffix}", stats[by_key].astype(next(f"<u{2**b}" for b in range(4) if int(stats.max()) < 256 ** 2**b)))
+
+
 def save_counts(at: str, name: str, counts: np.ndarray) -> None:
     large = np.flatnonzero(counts >= 255)
     save(f"{at}/{name}", np.minimum(counts, 255).astype("u1"))
@@ -198,7 +220,7 @@ def mapped(uri: str, dtype: str, width: int = 1) -> np.ndarray:
 
 def find(at: str, keys: np.ndarray) -> np.ndarray:
     """Where each key stands among the sorted ones; -1 where it doesn't. A binary search within each key's high bits."""
-    body, starts = mapped(f"{at}/keys", "<u2", 3), mapped(f"{at}/starts", "<u8")
+    body, starts = mapped(f"{at}/keys", "<u2", 3), mapped(f"{at}/starts", "<u4")
     high, want = keys >> np.uint64(48), keys & LOW
     low, end = starts[high].astype(np.int64), starts[high + np.uint64(1)].astype(np.int64)
     last = len(body) - 1
@@ -235,7 +257,9 @@ class Model:
     train_tokens: int
     vocabulary: int
     present: set[tuple[int, int]]  # the orders' shards that have n-grams
-    explicit: set[tuple[int, int]]  # those that have rows of contexts
+    local: set[tuple[int, int]]  # those that have rows of contexts
+    spread: set[tuple[int, int]]  # and of contexts that end in hot words
+    hot: np.ndarray
 
     def _each(self, lead: np.ndarray, level: int, there: set[tuple[int, int]]) -> Iterator[tuple[str, np.ndarray]]:
         """A shard's address and the rows that belong to it, sorted by their shards' hash."""
@@ -258,15 +282,19 @@ class Model:
             out[own] = value
         return out
 
-    def stats(self, level: int, lead: np.ndarray, keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-        """Sum of counts, and how many of 1, 2, and 3 and more, of contexts; known ones without a row have one follower, once."""
+    def stats(self, level: int, last: np.ndarray, keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Sum of counts, and how many of 1, 2, and 3 and more, of contexts that end in the words last; known ones without a row have one follower, once."""
         out = np.where(known[:, None], np.array([1.0, 1.0, 0.0, 0.0]), 0.0)
-        for at, own in self._each(lead, level, self.explicit):
-            there = mapped(f"{at}/contexts", "<u8")
-            i = np.minimum(np.searchsorted(there, keys[own]), len(there) - 1)
-            hit = there[i] == keys[own]
-            size = mapped(f"{at}/stats", "u1").size // (4 * len(there))
-            out[own[hit]] = mapped(f"{at}/stats", "u1").view(f"<u{size}").reshape(-1, 4)[i[hit]]
+        hot = among(last, self.hot)
+        for suffix, part, there in (("", ~hot, self.local), (".hot", hot, self.spread)):
+            part = np.flatnonzero(part)
+            for at, rows in self._each((keys if suffix else last)[part], level, there):
+                own = part[rows]
+                contexts = mapped(f"{at}/contexts{suffix}", "<u8")
+                i = np.minimum(np.searchsorted(contexts, keys[own]), len(contexts) - 1)
+                hit = contexts[i] == keys[own]
+                stats = mapped(f"{at}/stats{suffix}", "u1")
+                out[own[hit]] = stats.view(f"<u{stats.size // (4 * len(contexts))}").reshape(-1, 4)[i[hit]]
         return out
 
     def probabilities(self, words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,24 +309,24 @@ class Model:
         else:
             p = np.full(len(words), uniform)
         # An n-gram's context is the n-gram one order lower at the place before; marks stand before a text.
-        here, names, leads, mark, mark_lead = code, word, word, START, START
+        before_word = np.empty_like(words)
+        before_word[1:] = words[:-1]
+        before_word[starts] = START
+        here, names, last, mark = code, word, word, START
         for level in range(2, self.order + 1):
             d = self.levels[level].discounts
             before = np.empty(len(words), np.int64)
             before[1:] = here[:-1]
             before[starts] = len(names)
-            context, context_lead = np.append(names, mark), np.append(leads, mark_lead)
-            stats = self.stats(level, context_lead, context, np.append(count > 0, False))
+            context = np.append(names, mark)
+            stats = self.stats(level, np.append(last, START), context, np.append(count > 0, False))
             gamma = np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(d) / np.maximum(stats[:, 0], 1), 1.0)
             here, where = distinct(before * len(word) + code)
-            names = join_hash(context[before[where]], word[code[where]])
-            leads = names if level == 2 else leads2[pairs[where]]
-            if level == 2:
-                pairs, leads2 = here, names
-            count = self.counts(level, "counts", leads, names)
+            last = words[where]
+            names = join_hash(context[before[where]], last)
+            count = self.counts(level, "counts", leads(before_word[where], last, self.hot), names)
             p = (_less(count, d) / np.maximum(stats[before[where], 0], 1))[here] + gamma[before] * p
             mark = join_hash(np.array([mark]), np.array([START]))[0]
-            mark_lead = mark if level == 2 else mark_lead
         return p, raw[code]
 
 
@@ -318,7 +346,7 @@ def _sums(counts: np.ndarray, raw: np.ndarray) -> list[float]:
     return [*(float((counts == k).sum()) for k in (1, 2, 3, 4)), float((counts >= 3).sum()), float(counts.sum()), float(raw.sum()), float(len(counts))]
 
 
-#: Rows between the passes: what is in a pack (the order whose contexts it counts, 1 for unigrams), or sums of an order.
+#: Rows between the passes: what is in a pack (the order whose contexts it counts, 1 for unigrams), sums of an order, or that a shard has rows of contexts.
 ROW = "kind string, level int, shard int, pack binary, sums array<double>"
 
 
@@ -336,6 +364,25 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> dict[int, dict[int, list[byt
     return found
 
 
+def _hot(texts: DataFrame, shards: int, sample: int = 2_000) -> np.ndarray:
+    """Sorted words with more than a shard's share of the tokens of about `sample` texts, and the start mark."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, parts in text_rows(batch, "_text"):
+                words, _ = tokens(parts)
+                code, where = distinct(words)
+                yield pa.RecordBatch.from_arrays([pa.array(words[where].view(np.int64)), pa.array(np.bincount(code, minlength=len(where)))], names=["word", "n"])
+
+    drawn = texts.where(F.pmod(F.xxhash64("_text"), F.lit(max(1, texts.count() // sample))) == 0)
+    words = drawn.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words, path = materialize(words, "words")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    found = words.where(F.col("n") * shards > total).select("word").collect()  # fewer than there are shards
+    drop_path(texts.sparkSession, path)
+    return np.unique(np.array([START, *(np.uint64(r.word & 0xFFFFFFFFFFFFFFFF) for r in found)], np.uint64))
+
+
 def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) -> Model:
     """Count the texts for which uses holds and write the model to the shared folder."""
     spark = docs.sparkSession
@@ -345,6 +392,7 @@ def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) ->
     used = docs.where(uses).select(docs[text].alias("_text"))
     size = used.agg(F.sum(F.octet_length("_text") + F.lit(8))).first()[0] or 0
     shards = max(1, -(-int(size) // SHARD))
+    hot = _hot(used, shards)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -354,7 +402,7 @@ def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) ->
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
             held.clear()
             columns, weights = summed(columns, [np.ones(len(columns[0]))])
-            return _rows([("n-grams", order, s, blob, None) for s, blob in by_shard(columns, weights, shards)])
+            return _rows([("n-grams", order, s, blob, None) for s, blob in by_shard(leads(columns[-2], columns[-1], hot) if order > 1 else columns[0], columns, weights, shards)])
 
         for batch in batches:
             for _, texts in text_rows(batch, "_text"):
@@ -378,12 +426,21 @@ def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) ->
                 by_key = np.argsort(keys)
                 save_counts(at, "counts", counts[by_key])
                 save_keys(at, keys[by_key])
-                followers = [counts, counts == 1, counts == 2, counts >= 3]
                 rows = [("sums", level, shard, None, _sums(counts, raw))]
-                rows += [("contexts", level, s, blob, None) for s, blob in by_shard(*summed(columns[:-1], followers), shards)]
+                followers = [counts, counts == 1, counts == 2, counts >= 3]
+                spread = among(columns[-2], hot)
+                if not spread.all():
+                    context, stats = summed([c[~spread] for c in columns[:-1]], [f[~spread] for f in followers])
+                    if (told := stats[0] != 1).any():
+                        save_stats(at, "", chained(context)[told], np.stack(stats, 1)[told])
+                        rows.append(("local", level, shard, None, None))
+                if spread.any():
+                    context, stats = summed([c[spread] for c in columns[:-1]], [f[spread] for f in followers])
+                    key = chained(context)
+                    rows += [("contexts", level, s, blob, None) for s, blob in by_shard(key, [key], [*stats, context[-1] == START], shards)]
                 yield _rows(rows)
                 columns, (counts, raw) = summed(columns[1:], [np.ones(len(counts)), raw])
-            yield _rows([("unigrams", 1, s, blob, None) for s, blob in by_shard(columns, [counts, raw], shards)])
+            yield _rows([("unigrams", 1, s, blob, None) for s, blob in by_shard(columns[0], columns, [counts, raw], shards)])
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Unigrams, and the contexts that don't have one follower, once."""
@@ -391,8 +448,7 @@ def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) ->
             rows = []
             for level, packs in levels.items():
                 columns, weights = merged(packs)
-                keys = chained(columns)
-                at = f"{uri}/{level}/{shard}"
+                keys, at = columns[-1], f"{uri}/{level}/{shard}"
                 if level == 1:
                     by_key = np.argsort(keys)
                     counts, raw = weights[0], weights[-1]
@@ -400,14 +456,9 @@ def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) ->
                     save_counts(at, "raw", raw[by_key])
                     save_keys(at, keys[by_key])
                     rows.append(("sums", 1, shard, None, _sums(counts, raw)))
-                    continue
-                stats = np.stack(weights, 1)
-                told = np.flatnonzero((stats[:, 0] != 1) | (columns[-1] == START))
-                if told.size:
-                    told = told[np.argsort(keys[told])]
-                    save(f"{at}/contexts", keys[told].astype("<u8"))
-                    save(f"{at}/stats", stats[told].astype(next(f"<u{2**b}" for b in range(4) if stats.max() < 256 ** 2**b)))
-                    rows.append(("explicit", level, shard, None, None))
+                elif (told := (weights[0] != 1) | (weights[4] > 0)).any():
+                    save_stats(at, ".hot", keys[told], np.stack(weights[:4], 1)[told])
+                    rows.append(("spread", level, shard, None, None))
             if rows:
                 yield _rows(rows)
 
@@ -416,10 +467,10 @@ def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) ->
     if order > 1:
         found, path = materialize(packs.mapInArrow(orders, ROW), "orders")
         made.append(path)
-        packs = found.where("kind <> 'sums'").repartitionById(shards, "shard")
+        packs = found.where("pack is not null").repartitionById(shards, "shard")
     last, path = materialize(packs.mapInArrow(rest, ROW), "unigrams")
     made.append(path)
-    told = last if order == 1 else last.unionByName(found.where("kind = 'sums'"))
+    told = last if order == 1 else last.unionByName(found.where("pack is null"))
     summary = told.select("kind", "level", "shard", "sums").collect()  # a row a shard and order
     drop_path(spark, *made)
     levels: dict[int, Order] = {}
@@ -429,7 +480,7 @@ def train(docs: DataFrame, key: str, text: str, uses: Column, order: int = 2) ->
         if level == 1:
             train_tokens, vocabulary = int(raw), int(kinds)
     shards_with = lambda kind: {(r.level, r.shard) for r in summary if r.kind == kind}
-    return Model(uri, order, shards, levels, train_tokens, vocabulary, shards_with("sums"), shards_with("explicit"))
+    return Model(uri, order, shards, levels, train_tokens, vocabulary, shards_with("sums"), shards_with("local"), shards_with("spread"), hot)
 
 
 def held_out(key: str = "doc_id") -> Column:
