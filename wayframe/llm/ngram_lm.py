@@ -12,8 +12,8 @@ as are unigrams. Shards hold SHARD bytes of text whatever the corpus; the driver
 sees one row of sums for each and at most one hot word for each. Scoring workers
 map the arrays into memory and look up the distinct n-grams of a block of texts.
 
-Files of an order and shard: keys (64-bit hashes, sorted: the low 48 bits of
-each, and in `starts` where each value of the high 16 bits begins), counts (a
+Files of an order and shard: 64-bit hashes, sorted (in `starts` where each value
+of the high 16 bits begins, in `middle` and `low` the others), counts (a
 byte each; larger ones in `counts.large`, as 64-bit rows of index and value).
 Contexts followed by more than one word, once, have rows in contexts and stats
 (sum of counts, how many counts of 1, of 2, of 3 and more), those that end in hot
@@ -44,7 +44,6 @@ from wayframe.llm.near_dedup import mix, word_hashes, words_of
 END, START = (np.uint64(xxhash.xxh64_intdigest(x, seed=7)) for x in (b"end of text", b"start of text"))
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 FLUSH, SHARD = 4_000_000, 16 << 20
-LOW = np.uint64((1 << 48) - 1)
 #: Bytes of arrays that a worker holds where files can't be mapped.
 HELD = 512 << 20
 
@@ -106,18 +105,10 @@ def _planes(a: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(a.astype(kind).view(np.uint8).reshape(len(a), -1).T).tobytes()
 
 
-def packed(columns: list[np.ndarray], weights: list[np.ndarray]) -> bytes:
-    """Rows of words, which are numbered within the pack, and of numbers."""
-    n = len(columns[0])
-    code, where = distinct(np.concatenate(columns))
-    words = np.concatenate(columns)[where]
-    by_hash = np.argsort(words)
-    number = np.empty(len(words), np.int64)
-    number[by_hash] = np.arange(len(words))
-    code = number[code].reshape(len(columns), n)
-    order = np.argsort(code[max(0, len(columns) - 2)], kind="stable")
-    body = [_planes(np.diff(words[by_hash], prepend=np.uint64(0)), "<u8"), *(_planes(c[order], "<u4") for c in code), *(_planes(w[order], "<u8") for w in weights)]
-    return b"".join(x.to_bytes(8, "little") for x in (n, len(words), len(columns))) + _ZIP.compress(b"".join(body))
+def _pack(words: np.ndarray, code: np.ndarray, weights: list[np.ndarray]) -> bytes:
+    order = np.argsort(code[max(0, len(code) - 2)], kind="stable")
+    body = [_planes(np.diff(words, prepend=np.uint64(0)), "<u8"), *(_planes(c[order], "<u4") for c in code), *(_planes(w[order], "<u8") for w in weights)]
+    return b"".join(x.to_bytes(8, "little") for x in (len(order), len(words), len(code))) + _ZIP.compress(b"".join(body))
 
 
 def unpacked(blob: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -154,9 +145,26 @@ def by_shard(lead: np.ndarray, columns: list[np.ndarray], weights: list[np.ndarr
     shard = shard_of(lead, shards)
     order = np.argsort(shard, kind="stable")
     bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+    # Words are numbered once; a pack's own numbers follow from which of them it has.
+    words, code = _numbered(columns)
+    code = code.reshape(len(columns), -1)
     for s in np.unique(shard).tolist():
         own = order[bounds[s] : bounds[s + 1]]
-        yield s, packed([c[own] for c in columns], [w[own] for w in weights])
+        there = np.zeros(len(words), bool)
+        mine = code[:, own]
+        there[mine.ravel()] = True
+        number = np.cumsum(there) - 1
+        yield s, _pack(words[there], number[mine], [w[own] for w in weights])
+
+
+def _numbered(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of columns, sorted, and the number of each word."""
+    code, where = distinct(np.concatenate(columns))
+    words = np.concatenate(columns)[where]
+    by_hash = np.argsort(words)
+    number = np.empty(len(words), np.int64)
+    number[by_hash] = np.arange(len(words))
+    return words[by_hash], number[code]
 
 
 # --- files in the shared folder ---
@@ -181,7 +189,8 @@ def save(uri: str, array: np.ndarray) -> None:
 def save_keys(at: str, keys: np.ndarray) -> None:
     """Sorted keys."""
     save(f"{at}/starts", np.searchsorted(keys >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64)).astype("<u4"))
-    save(f"{at}/keys", (keys & LOW).astype("<u8").view("<u2").reshape(-1, 4)[:, :3])
+    save(f"{at}/middle", (keys >> np.uint64(32)).astype("<u2"))
+    save(f"{at}/low", keys.astype("<u4"))
 
 
 def save_stats(at: str, suffix: str, keys: np.ndarray, stats: np.ndarray) -> None:
@@ -219,21 +228,37 @@ def mapped(uri: str, dtype: str, width: int = 1) -> np.ndarray:
 
 
 def find(at: str, keys: np.ndarray) -> np.ndarray:
-    """Where each key stands among the sorted ones; -1 where it doesn't. A binary search within each key's high bits."""
-    body, starts = mapped(f"{at}/keys", "<u2", 3), mapped(f"{at}/starts", "<u4")
-    high, want = keys >> np.uint64(48), keys & LOW
-    low, end = starts[high].astype(np.int64), starts[high + np.uint64(1)].astype(np.int64)
-    last = len(body) - 1
+    """Where each key stands among the sorted ones; -1 where it doesn't.
+
+    The high 16 bits give the range, a binary search in it the middle 16, and
+    the low 32 decide; few keys agree in the first 32 bits.
+    """
+    starts, middle, low = mapped(f"{at}/starts", "<u4"), mapped(f"{at}/middle", "<u2"), mapped(f"{at}/low", "<u4")
+    last = len(low) - 1
     if last < 0:
         return np.full(len(keys), -1)
-    value = lambda i: body[i].astype(np.uint64) @ np.array([1, 1 << 16, 1 << 32], np.uint64)
-    stop = end.copy()
-    while (low < stop).any():
-        middle = (low + stop) // 2
-        less = (value(np.minimum(middle, last)) < want) & (low < stop)
-        low, stop = np.where(less, middle + 1, low), np.where(less, stop, np.minimum(middle, stop))
-    here = np.minimum(low, last)
-    return np.where((low < end) & (value(here) == want), here, -1)
+    high = (keys >> np.uint64(48)).astype(np.int64)
+    first, end = starts[high].astype(np.int64), starts[high + 1].astype(np.int64)
+    want, rest = (keys >> np.uint64(32)).astype(np.uint16), keys.astype(np.uint32)
+    length = end - first
+    for _ in range(int(length.max(initial=0)).bit_length()):
+        half = length >> 1
+        less = (middle.take(first + half, mode="clip") < want) & (length > 0)
+        step = half + 1
+        step *= less
+        first += step
+        length = np.where(less, length - step, half)
+    out = np.full(len(keys), -1)
+    open_ = np.arange(len(keys))
+    while open_.size:
+        at_ = first[open_]
+        there = (at_ < end[open_]) & (middle.take(at_, mode="clip") == want[open_])
+        open_, at_ = open_[there], at_[there]
+        hit = low[at_] == rest[open_]
+        out[open_[hit]] = at_[hit]
+        open_ = open_[~hit]
+        first[open_] += 1
+    return out
 
 
 # --- the model ---
