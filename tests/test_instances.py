@@ -29,6 +29,7 @@ def test_valid_documents(spark):
     assert r[4].tours[0].nodes == [0, 2, 1]
     assert r[5].problem_data.time_windows == [[0.0, 10.0], [2.0, 5.5]] and r[5].problem_data.vehicles == 2
     assert r[6].coords == r[0].coords
+    assert parsed(spark, CVRP.replace("CAPACITY : 10\n", ""))[0].errors == []
 
 
 POISONED = [
@@ -47,7 +48,6 @@ POISONED = [
     (CVRP.replace("2 4\n", "2 4.5\n"), "ParseError: DEMAND"),
     (CVRP.replace("1 0\n2 4", "1 3\n2 4"), "no demand"),
     (CVRP.replace("\n-1\n", "\n"), "ParseError: DEPOT"),
-    (CVRP.replace("CAPACITY : 10\n", ""), "CAPACITY is missing"),
     (HCP.replace("2 4 -1", "2 9 -1"), "edges are out"),
     (TOUR.replace("1 3\n2", "1 3\n3"), "each node once"),
     ("", "NAME"),

@@ -44,7 +44,8 @@ def process(spark, root: str, store: str, types: list[str] | None = None, force:
     """Read what changed below root, upsert it, and return the counts."""
     current = cat.load(spark, store)
     raw = files.texts(files.corpus_files(spark, root, types))
-    changes = incremental.detect_changes(raw.select("path", "checksum"), current["file_tracking"])
+    # Contents are read twice: once for their checksums, and those that changed once more to be parsed.
+    changes = incremental.detect_changes(raw.select("path", "checksum"), current["file_tracking"]).persist()
     todo = raw.join(incremental.to_process(changes, force).select("path"), "path", "left_semi")
     checked = validate(instances.parse(todo)).persist()
     try:
@@ -61,6 +62,7 @@ def process(spark, root: str, store: str, types: list[str] | None = None, force:
             bad = 0
     finally:
         checked.unpersist()
+        changes.unpersist()
     return {**counts, "processed": total, "failed": bad, "successful": total - bad}
 
 
@@ -101,10 +103,11 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     c = cat.load(spark, args.store)
     if args.command == "validate":
-        found = audit.integrity_failures(c).collect()
-        for r in found:
+        found = False
+        for r in audit.integrity_failures(c).toLocalIterator():  # a partition at a time
+            found = True
             print(f"{r.check}\t{r.problem_id}\t{r.detail}")
-        return int(bool(found))
+        return int(found)
     if args.command == "analyze":
         df = queries.query_problems(c, args.type, limit=args.limit)
         print("\n".join(df.toJSON().collect())) if args.json else df.show(args.limit, truncate=False)

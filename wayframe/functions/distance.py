@@ -115,13 +115,14 @@ def supported_weight_types() -> frozenset[str]:
 
 
 def distance_for(weight_type: str | None, special: Distance | None = None, geo_mode: str = "spec") -> Distance:
-    """The distance of a weight type named on the driver."""
+    """The distance of a weight type named on the driver, in any case of letters."""
+    weight_type = weight_type.upper() if weight_type else weight_type
     if weight_type == "SPECIAL":
         if special is None:
             raise UnsupportedFeatureError("SPECIAL weights need a distance of the caller's")
         return special
     if special is not None:
-        raise FormatError("a distance of the caller's only goes with SPECIAL weights")
+        raise ValueError("a distance of the caller's only goes with SPECIAL weights")
     if weight_type == "GEO":
         return geo(geo_mode)
     if weight_type not in DISTANCES:
@@ -133,21 +134,25 @@ def distance_by(weight_type: Column, a: Column, b: Column, geo_mode: str = "spec
     """The distance whose weight type is a column; null for types without one."""
     out = F.lit(None).cast("int")
     for name in DISTANCES:
-        out = F.when(weight_type == name, distance_for(name, None, geo_mode)(a, b)).otherwise(out)
+        out = F.when(F.upper(weight_type) == name, distance_for(name, None, geo_mode)(a, b)).otherwise(out)
     return out
 
 
 def route_cost(route: Column, cost: Callable[[Column, Column], Column], depot: int | None = None, close: bool = True) -> Column:
-    """Sum over consecutive nodes and back to the first; with depot, legs from and to it are included."""
+    """Sum over consecutive nodes and, unless the last is the first, back to the first; 0 below two nodes. With depot, legs from and to it are included."""
     nodes = route if depot is None else F.concat(F.array(F.lit(depot)), route)
-    after = F.concat(F.slice(nodes, 2, F.greatest(F.size(nodes) - 1, F.lit(0))), F.slice(nodes, 1, 1)) if close else F.slice(nodes, 2, F.greatest(F.size(nodes) - 1, F.lit(0)))
-    before = nodes if close else F.slice(nodes, 1, F.greatest(F.size(nodes) - 1, F.lit(0)))
-    legs = F.zip_with(before, after, lambda i, j: cost(i, j).cast("double"))
-    return F.when(F.size(nodes) > 0, F.aggregate(legs, F.lit(0.0), lambda s, x: s + x)).otherwise(F.lit(0.0))
+    first = F.slice(nodes, 1, 1)
+    if close:
+        nodes = F.when(F.get(nodes, F.lit(0)) != F.element_at(nodes, -1), F.concat(nodes, first)).otherwise(nodes)
+    n = F.greatest(F.size(nodes) - 1, F.lit(0))
+    legs = F.zip_with(F.slice(nodes, 1, n), F.slice(nodes, 2, n), lambda i, j: cost(i, j).cast("double"))
+    return F.when(n > 0, F.aggregate(legs, F.lit(0.0), lambda s, x: s + x)).otherwise(F.lit(0.0))
 
 
 def routes_cost(routes: Column, coords: Column | None, matrix: Column | None, weight_type: str | Column | None, special: Distance | None = None, depot: int | None = None, rounded: bool = True, geo_mode: str = "spec") -> Column:
     """Total cost of 0-based routes. A matrix goes before coordinates; null where there is neither."""
+    if isinstance(weight_type, str):
+        weight_type = weight_type.upper()
     by_matrix = lambda i, j: F.get(F.get(matrix, i), j)
 
     def by_coords(i: Column, j: Column) -> Column:
@@ -160,7 +165,7 @@ def routes_cost(routes: Column, coords: Column | None, matrix: Column | None, we
 
     total = lambda cost: F.aggregate(F.transform(routes, lambda r: route_cost(r, cost, depot)), F.lit(0.0), lambda s, x: s + x)
     out = F.lit(None).cast("double")
-    if coords is not None and weight_type is not None:
+    if coords is not None and weight_type is not None and not (isinstance(weight_type, str) and weight_type == "EXPLICIT"):
         out = F.when(coords.isNotNull(), total(by_coords))
     if matrix is not None:
         out = F.when(matrix.isNotNull(), total(by_matrix)).otherwise(out)

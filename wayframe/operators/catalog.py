@@ -102,16 +102,33 @@ def payload(valid: DataFrame) -> DataFrame:
         "file_size",
         stem.alias("stem"),
     )
-    return disambiguate(rows)
+    return disambiguate(rows.where(~_weightless()))
 
 
-def disambiguate(rows: DataFrame) -> DataFrame:
-    """Rows that share (name, type) are renamed to their file's stem, the old name in tsplib_name; of full doubles the first path stays."""
+def _weightless() -> Column:
+    """Whether a row lacks the weight type that its table must have."""
+    return storage_column(F.col("type")).isin("TSP", "CVRP") & F.col("edge_weight_type").isNull()
+
+
+def refused(good: DataFrame) -> DataFrame:
+    """(path, stage, error_type, error) of valid instances that can't be stored: their type, a weight type they lack, or a double."""
+    p = F.col("problem_data")
+    rows = good.select("path", p["type"].alias("type"), p["name"].alias("name"), p["edge_weight_type"].alias("edge_weight_type"), F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"(?<=.)\.[^.]*$", "").alias("stem"))
+    storable = F.col("type").isin(*sorted(STORABLE_TYPES))
+    told = lambda df, why: df.select("path", F.lit("store").alias("stage"), F.lit("DatabaseError").alias("error_type"), why.alias("error"))
+    out = told(rows.where(~storable), F.concat(F.coalesce("type", F.lit("?")), F.lit(" can't be stored")))
+    out = out.unionByName(told(rows.where(storable & _weightless()), F.lit("EDGE_WEIGHT_TYPE is missing")))
+    doubles = disambiguate(rows.where(storable & ~_weightless()), first=False)
+    return out.unionByName(told(doubles, F.concat(F.lit("another file has the name and type "), "name", F.lit(" "), "type")))
+
+
+def disambiguate(rows: DataFrame, first: bool = True) -> DataFrame:
+    """Rows that share (name, type) are renamed to their file's stem, the old name in tsplib_name; of full doubles the first path stays, or, unless first, the others."""
     same = Window.partitionBy("name", "type")
     clash = (F.count("*").over(same) > 1) & (F.col("stem") != F.col("name"))
     rows = rows.withColumn("_clash", clash)
     rows = rows.withColumn("tsplib_name", F.when(F.col("_clash"), F.col("name"))).withColumn("name", F.when(F.col("_clash"), F.col("stem")).otherwise(F.col("name"))).drop("_clash")
-    return rows.withColumn("_n", F.row_number().over(same.orderBy("path"))).where("_n = 1").drop("_n")
+    return rows.withColumn("_n", F.row_number().over(same.orderBy("path"))).where("_n = 1" if first else "_n > 1").drop("_n")
 
 
 def assign_ids(rows: DataFrame, current: DataFrame) -> DataFrame:
@@ -140,7 +157,6 @@ def upsert(c: Catalog, rows: DataFrame) -> Catalog:
     out = {"problems": hub.join(rows.select("id"), "id", "left_anti").unionByName(fresh)}
     for storage, name in TYPE_TABLES.items():
         own = rows.where(F.col("storage") == storage).withColumnRenamed("id", "problem_id")
-        own = own.withColumn("edge_weight_type", F.coalesce("edge_weight_type", F.lit("EUC_2D")))
         out[name] = c[name].join(ids, "problem_id", "left_anti").unionByName(own.select(*SCHEMAS[name].names))
     matrices = rows.where("matrix is not null").select(F.col("id").alias("problem_id"), F.lit("FULL_MATRIX").alias("matrix_format"), F.coalesce("is_symmetric", F.lit(False)).alias("is_symmetric"), "matrix")
     out["edge_weight_matrices"] = c["edge_weight_matrices"].join(ids, "problem_id", "left_anti").unionByName(matrices)
@@ -168,14 +184,19 @@ def _fs(spark: SparkSession, path: str):
 
 
 def save(c: Catalog, root: str) -> str:
-    """Write a new snapshot, then replace the pointer file; readers see the old or the new one whole."""
+    """Write a new snapshot, then rename a new pointer file over the old one: readers see the old state or the new one whole."""
     version = uuid.uuid4().hex
     for name in TABLES:
         c[name].write.parquet(f"{root}/{version}/{name}")
-    fs, pointer = _fs(c.spark, f"{root}/CURRENT")
-    out = fs.create(pointer, True)
+    fs, aside = _fs(c.spark, f"{root}/CURRENT.{version}")
+    out = fs.create(aside, True)
     out.write(bytearray(json.dumps({"version": version}).encode()))
     out.close()
+    sc = c.spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    over = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(aside.toUri() if "://" in root else fs.getUri(), sc._jsc.hadoopConfiguration()).rename(fs.makeQualified(aside), fs.makeQualified(hadoop.Path(f"{root}/CURRENT")), over)
     return version
 
 
@@ -193,6 +214,4 @@ def ingest(c: Catalog, checked: DataFrame) -> tuple[Catalog, DataFrame]:
     from wayframe.operators.validate import split_valid
 
     good, bad = split_valid(checked)
-    kinds = F.col("problem_data.type").isin(*sorted(STORABLE_TYPES))
-    refused = good.where(~kinds).select("path", F.lit("store").alias("stage"), F.lit("DatabaseError").alias("error_type"), F.concat(F.col("problem_data.type"), F.lit(" can't be stored")).alias("error"))
-    return upsert(c, payload(good)), bad.unionByName(refused)
+    return upsert(c, payload(good)), bad.unionByName(refused(good))

@@ -83,6 +83,17 @@ def load_problem_metadata(c: Catalog, problem_id: int) -> dict:
     return found[0].asDict()
 
 
+def file_info(c: Catalog, path: str) -> dict | None:
+    """What is tracked of a file; None where it isn't."""
+    found = c["file_tracking"].where(F.col("file_path") == path).limit(1).collect()
+    return found[0].asDict() if found else None
+
+
+def failure_counts(failures: DataFrame) -> DataFrame:
+    """Failures by stage and kind of error, with how many files they are in."""
+    return failures.groupBy("stage", "error_type").agg(F.count("*").alias("errors"), F.countDistinct("path").alias("files"))
+
+
 def load_matrix_metadata(c: Catalog, problem_id: int) -> dict | None:
     found = c["edge_weight_matrices"].where(F.col("problem_id") == problem_id).select("matrix_format", "is_symmetric", F.size("matrix").alias("size")).collect()
     return found[0].asDict() if found else None

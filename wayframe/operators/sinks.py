@@ -90,6 +90,30 @@ def write_json_files(parsed: DataFrame, folder: str) -> DataFrame:
     return json_documents(parsed).mapInArrow(run, "path string, status string")
 
 
+def export_csv(rows: DataFrame, folder: str, files: int | None = None) -> str:
+    """A query's rows as CSV with a header; columns that CSV can't hold are written as JSON."""
+    flat = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("array", "struct", "map") else F.col(f.name) for f in rows.schema.fields]
+    out = rows.select(*flat)
+    (out if files is None else out.coalesce(files)).write.mode("overwrite").option("header", "true").csv(folder)
+    return folder
+
+
+def export_table(c: Catalog, name: str, path: str, compression: str = "snappy", basename: str | None = None) -> str:
+    """One table as a folder named basename (its own name by default) below path."""
+    if compression not in COMPRESSIONS:
+        raise ValueError(f"unknown compression {compression!r}")
+    (name,) = allowed_tables([name])
+    out = f"{path}/{basename or name}"
+    c[name].write.mode("overwrite").option("compression", compression).parquet(out)
+    return out
+
+
+def output_path(folder: str, name: str | None, kind: str | None) -> str:
+    """Where write_json_files() puts a problem."""
+    kind = (kind or "unknown").lower()
+    return f"{folder}/{kind}/{safe_name(name or 'problem')}.{kind}.json"
+
+
 def backup(c: Catalog, problem_id: int, folder: str) -> str:
     """A problem as a JSON file named by the time."""
     row = queries.export_problem(c, problem_id)

@@ -72,10 +72,34 @@ class FormatError(RoutingError):
     pass
 
 
+class ParseError(FormatError, ValueError):
+    pass
+
+
+class ValidationError(FormatError):
+    pass
+
+
 class UnsupportedFeatureError(FormatError):
     pass
 
 
+class CordeauParseError(ParseError):
+    pass
+
+
+class SolutionParseError(ParseError):
+    pass
+
+
+class TransformError(RoutingError):
+    pass
+
+
+class OutputError(RoutingError):
+    pass
+
+
 class DatabaseError(RoutingError):
     pass
 
@@ -84,6 +108,16 @@ class NotFoundError(DatabaseError):
     pass
 
 
+ERRORS = {e.__name__: e for e in (FormatError, ParseError, ValidationError, UnsupportedFeatureError, CordeauParseError, SolutionParseError, TransformError, OutputError, DatabaseError, NotFoundError)}
+
+
+def raise_first(errors: list[str]) -> None:
+    """The first of a row's errors (`error_type: message`) as an exception; nothing where there is none."""
+    if errors:
+        kind, _, message = errors[0].partition(": ")
+        raise ERRORS.get(kind, FormatError)(message)
+
+
 def canonical_type(raw: str | None) -> str | None:
     """TSP (some author) -> TSP, VRP -> CVRP; an unknown name is given back stripped."""
     if not isinstance(raw, str) or not raw.strip():

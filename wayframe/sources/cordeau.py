@@ -18,48 +18,51 @@ def parse_cordeau(text: str | None) -> dict:
     """Header `type m n t`, t lines `duration load`, n customers, t depots; exactly as many lines.
 
     A customer line has id, x, y, service, demand, frequency, the number of
-    visit combinations and these, then perhaps a window; a depot line may end
-    after the demand. Every fault is an error, none is raised.
+    visit combinations and these, and in types from 4 on a window at the end; a
+    depot line has seven numbers at least and no demand. Every fault is an
+    error, none is raised.
     """
     lines = [x.split() for x in BREAK.split(text or "") if x.strip()]
     out = {"type": None, "vehicles": None, "customers": None, "depots": None, "depot_constraints": [], "nodes": [], "errors": []}
     head = [integer(w) for w in lines[0]] if lines else []
-    if len(head) < 4 or None in head[:4]:
+    if len(head) != 4 or None in head:
         out["errors"].append("the header needs four integers")
         return out
-    kind, m, n, t = head[:4]
+    kind, m, n, t = head
     out |= {"type": kind, "vehicles": m, "customers": n, "depots": t}
     if kind not in TYPES:
         out["errors"].append("unknown type")
-    if min(m, n, t) < 0 or len(lines) != 1 + t + n + t:
+    if min(m, n, t) <= 0:
+        out["errors"].append("vehicles, customers and depots must be positive")
+    elif len(lines) != 1 + t + n + t:
         out["errors"].append("the number of lines doesn't fit the header")
+    if out["errors"]:
         return out
-    for words in lines[1 : 1 + t]:
-        duration, load = (number(w) for w in (*words, "x", "x")[:2])
+    for i, words in enumerate(lines[1 : 1 + t], 1):
+        duration, load = (number(words[0]), integer(words[1])) if len(words) == 2 else (None, None)
         if duration is None or load is None:
-            out["errors"].append("a depot constraint can't be read")
+            out["errors"].append(f"depot constraint {i} needs a duration and a load")
             continue
-        out["depot_constraints"].append({"max_duration": duration, "max_load": int(load)})
-    for k, words in enumerate(lines[1 + t :]):
-        values = [number(w) for w in words]
-        least = 7 if k >= n else 8
-        if None in values or len(values) < min(least, 5):
-            out["errors"].append("a node can't be read")
+        out["depot_constraints"].append({"max_duration": duration, "max_load": load})
+    windowed = kind >= 4
+    for k, words in enumerate(lines[1 + t :], 1):
+        depot = k > n
+        least = 7 if depot else 10 if windowed else 8
+        place, whole = [number(w) for w in words[1:4]], [integer(w) for w in (words[:1] if depot else [words[0], *words[4:7]])]
+        if len(words) < least or None in place or None in whole:
+            out["errors"].append(f"node line {k} can't be read")
             continue
-        count = int(values[6]) if len(values) > 6 else 0
-        rest = values[7 + count :]
-        out["nodes"].append(
-            {
-                "id": int(values[0]),
-                "x": values[1],
-                "y": values[2],
-                "service": values[3],
-                "demand": int(values[4]),
-                "frequency": int(values[5]) if len(values) > 5 else 0,
-                "visits": [int(v) for v in values[7 : 7 + count]],
-                "window": rest[:2] if len(rest) >= 2 else None,
-            }
-        )
+        node = {"id": whole[0], "x": place[0], "y": place[1], "service": place[2], "demand": 0, "frequency": 0, "visits": [], "window": None}
+        if not depot:
+            last = len(words) - 2 if windowed else len(words)
+            visits = [integer(w) for w in words[7 : min(7 + whole[3], last)]]
+            node |= {"demand": whole[1], "frequency": whole[2], "visits": visits[: visits.index(None)] if None in visits else visits}
+        if windowed:
+            node["window"] = [number(w) for w in words[-2:]]
+            if None in node["window"]:
+                out["errors"].append(f"node line {k} needs a time window")
+                continue
+        out["nodes"].append(node)
     return out
 
 
@@ -101,4 +104,4 @@ def parse_as_instances(files: DataFrame, name: str, text: str = "text") -> DataF
             return empty | {"errors": [f"CordeauParseError: {e}" for e in record["errors"]]}
         return parse_text(to_tsplib(record, name))
 
-    return decode(files, convert, PARSED, text)
+    return decode(files, convert, PARSED, text).drop("symmetric")

@@ -16,12 +16,13 @@ EXCLUDED = ("/mdvrp/", "/mdvrp-converted/")
 
 def scan_files(spark: SparkSession, *roots: str, patterns: tuple[str, ...] = PATTERNS, recursive: bool = True, exclude: tuple[str, ...] = ()) -> DataFrame:
     """(path, modificationTime, length, content) of matching files, each once; roots that don't exist give none."""
-    there = [r for r in roots if "://" in r or Path(r).exists()]
+    there = sorted({r.rstrip("/") for r in roots if "://" in r or Path(r).exists()})
+    if recursive:  # a root below another one is read with it
+        there = [r for r in there if not any(r.startswith(f"{o}/") for o in there)]
     glob = patterns[0] if len(patterns) == 1 else "{" + ",".join(patterns) + "}"
     if not there:
         return spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
     found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(there)
-    found = found.dropDuplicates(["path"]) if len(there) > 1 else found
     for part in exclude:
         found = found.where(~F.col("path").contains(part))
     return found

@@ -3,7 +3,8 @@
 Text with sections is order-dependent state, so a file is decoded by a plain
 function in Arrow batches: as one expression tree the same took Catalyst about
 half a minute to analyse and compile for each query, and left code generation.
-Everything after it (matrices, validation, catalog) is DataFrame code. Errors
+So do packed matrices, whose nine layouts are one line of numpy each.
+Everything after it (validation, catalog) is DataFrame code. Errors
 are collected in a column; no file makes the job fail.
 """
 
@@ -12,14 +13,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from wayframe.functions.matrix import densify, is_symmetric
-from wayframe.schemas import CORE_SECTIONS, CORE_TYPES, EXTENDED_SECTIONS, INT_HEADERS, NUMBER_HEADERS, STRING_HEADERS, STRIPPED_SECTIONS, THREED_WEIGHTS, TWOD_WEIGHTS, canonical_type
+from wayframe.functions.matrix import ROWS_OF
+from wayframe.schemas import CORE_SECTIONS, CORE_TYPES, EXTENDED_SECTIONS, INT_HEADERS, MATRIX_FORMATS, NO_DIAGONAL, NUMBER_HEADERS, STRING_HEADERS, STRIPPED_SECTIONS, THREED_WEIGHTS, TWOD_WEIGHTS, canonical_type
+from wayframe.session import ship
 
 NUMBER = re.compile(r"[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?", re.ASCII)
 INTEGER = re.compile(r"[+-]?\d+", re.ASCII)
@@ -35,7 +38,7 @@ _DATA = (
 PARSED = (
     f"problem_data struct<{_DATA.replace(' string', ':string').replace(' int', ':int').replace(' double', ':double').replace(' array', ':array').replace(' boolean', ':boolean')}>, "
     "coords array<array<double>>, display_coords array<array<double>>, demands array<int>, depots array<int>, edges array<array<int>>, fixed_edges array<array<int>>, "
-    "tours array<struct<tour_id:int,nodes:array<int>>>, edge_weights struct<format:string,size:int,numbers:array<double>>, coord_ids array<int>, demand_ids array<int>, errors array<string>"
+    "tours array<struct<tour_id:int,nodes:array<int>>>, edge_weights struct<format:string,size:int,numbers:array<double>>, coord_ids array<int>, demand_ids array<int>, matrix array<array<int>>, symmetric boolean, errors array<string>"
 )
 
 
@@ -45,7 +48,8 @@ def integer(word: str) -> int | None:
 
 
 def number(word: str) -> float | None:
-    return float(word) if NUMBER.fullmatch(word) else None
+    value = float(word) if NUMBER.fullmatch(word) else None
+    return value if value is not None and abs(value) != float("inf") else None
 
 
 def tokenize(text: str) -> tuple[list[tuple[str, str]], list[tuple[str, list[str]]]]:
@@ -148,6 +152,34 @@ class _Decoder:
         return out
 
 
+def dense(numbers: list[float], layout: str, n: int | None) -> np.ndarray | None:
+    """The full integer matrix of a layout; None if the count of numbers fits none.
+
+    Two deviations are read as meant: a leading DIMENSION, and a diagonal layout
+    whose zero diagonal is left out.
+    """
+    if layout not in MATRIX_FORMATS or not n or n < 0:
+        return None
+    count = {"FULL": n * n, "DIAG": n * (n + 1) // 2, "BARE": n * (n - 1) // 2}
+    kind = "FULL" if layout == "FULL_MATRIX" else "DIAG" if layout in NO_DIAGONAL else "BARE"
+    a = np.array(numbers)
+    if len(a) == count[kind] + 1 and a[0] == n:
+        a = a[1:]
+    elif kind == "DIAG" and len(a) == count["BARE"]:
+        kind = "BARE"
+    if len(a) != count[kind]:
+        return None
+    a = np.floor(a + 0.5).astype(np.int64)
+    if kind == "FULL":
+        return a.reshape(n, n)
+    out = np.zeros((n, n), np.int64)
+    lower = ROWS_OF.get(layout, layout).startswith("LOWER")
+    apart = int(kind == "BARE")
+    at = np.tril_indices(n, -apart) if lower else np.triu_indices(n, apart)
+    out[at] = out.T[at] = a
+    return out
+
+
 def parse_text(text: str | None) -> dict:
     """The parse contract of one document, with ids from 0 (backhauls and required_nodes keep the file's)."""
     headers, found = tokenize(text or "")
@@ -186,9 +218,19 @@ def parse_text(text: str | None) -> dict:
         data["required_nodes"] = d.ended("REQUIRED_NODES_SECTION") or None
         data["depot_capacities"] = [v[0] for _, v in d.indexed("DEPOT_CAPACITY_SECTION", integer, 1, 1)] or None
         data["depot_durations"] = [{"id": i, "duration": v[0]} for i, v in d.indexed("DEPOT_DURATION_SECTION", number, 1, 1)] or None
-    explicit = data["edge_weight_type"] == "EXPLICIT" and data["edge_weight_format"] != "FUNCTION"
+        if data["dimension"]:
+            for name in ("TIME_WINDOW_SECTION", "SERVICE_TIME_SECTION", "PICKUP_AND_DELIVERY_SECTION"):
+                ids = [integer(x.split()[0]) for x in sections.get(name, ())]
+                if ids and (len(ids) != data["dimension"] or set(ids) != set(range(1, data["dimension"] + 1))):
+                    errors.append(f"ValidationError: {name} needs nodes 1 to DIMENSION")
+    weight, layout = ((data[k] or "").upper() for k in ("edge_weight_type", "edge_weight_format"))
+    explicit = weight == "EXPLICIT" and layout != "FUNCTION"
+    values = [x for x in numbers if x is not None]
+    matrix = dense(values, layout, data["dimension"]) if explicit else None
     return {
         "problem_data": data,
+        "matrix": None if matrix is None else list(matrix),
+        "symmetric": None if matrix is None else bool((matrix == matrix.T).all()),
         "coords": [v for _, v in xy],
         "display_coords": [v for _, v in show],
         "demands": [v[0] for _, v in need],
@@ -196,7 +238,7 @@ def parse_text(text: str | None) -> dict:
         "edges": d.edges(data["edge_data_format"]),
         "fixed_edges": d.pairs("FIXED_EDGES_SECTION"),
         "tours": d.tours(),
-        "edge_weights": {"format": data["edge_weight_format"], "size": data["dimension"], "numbers": [x for x in numbers if x is not None]} if explicit else None,
+        "edge_weights": {"format": layout or None, "size": data["dimension"], "numbers": values} if explicit else None,
         "coord_ids": [i for i, _ in xy],
         "demand_ids": [i for i, _ in need],
         "errors": errors,
@@ -204,16 +246,36 @@ def parse_text(text: str | None) -> dict:
 
 
 def decode(files: DataFrame, function: Callable[[str | None], dict], schema: str, text: str = "text") -> DataFrame:
-    """files without its text, with the columns that function makes of each text."""
+    """files without its text, with the columns that function makes of each text.
+
+    A text for which function fails, or whose values fit no column, has empty
+    columns and the error: it doesn't end the job.
+    """
+    ship(files.sparkSession)
     keep = [f for f in files.schema.fields if f.name != text]
     made = _parse_datatype_string(schema)
     arrow = [to_arrow_type(f.dataType) for f in made.fields]
     names = [f.name for f in made.fields]
+    blank = {f.name: [] if f.dataType.typeName() == "array" else None for f in made.fields}
+
+    def whole(rows: list[dict]) -> list[pa.Array]:
+        return [pa.array([r[n] for r in rows], t) for n, t in zip(names, arrow, strict=True)]
+
+    def one(text: str | None) -> dict:
+        try:
+            row = function(text)
+            whole([row])
+            return row
+        except Exception as e:  # noqa: BLE001 a bad file refuses only itself
+            return blank | {"errors": [f"ParseError: {type(e).__name__}: {e}"]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [function(t) for t in batch.column(len(keep)).to_pylist()]
-            new = [pa.array([r[n] for r in rows], t) for n, t in zip(names, arrow, strict=True)]
+            texts = batch.column(len(keep)).to_pylist()
+            try:
+                new = whole([function(t) for t in texts])
+            except Exception:  # noqa: BLE001 each again by itself
+                new = whole([one(t) for t in texts])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *new], names=[*(f.name for f in keep), *names])
 
     return files.select(*(f.name for f in keep), text).mapInArrow(run, StructType([*keep, *made.fields]))
@@ -222,16 +284,15 @@ def decode(files: DataFrame, function: Callable[[str | None], dict], schema: str
 def parse(files: DataFrame, text: str = "text") -> DataFrame:
     """files with the parse contract, the dense matrix, metadata, and errors (`error_type: message`)."""
     df = decode(files, parse_text, PARSED, text)
-    p, w = F.col("problem_data"), F.col("edge_weights")
-    df = df.withColumn("matrix", F.when(w.isNotNull(), densify(w["numbers"], w["format"], w["size"])))
-    weight = p["edge_weight_type"]
+    p = F.col("problem_data")
+    weight = F.upper(p["edge_weight_type"])
     source = (
-        F.when((weight == "EXPLICIT") & (p["edge_weight_format"] == "FUNCTION"), "explicit_function")
+        F.when((weight == "EXPLICIT") & (F.upper(p["edge_weight_format"]) == "FUNCTION"), "explicit_function")
         .when(weight == "EXPLICIT", "explicit_matrix")
         .when(weight == "SPECIAL", "special_function")
         .when(weight.isin(*TWOD_WEIGHTS, *THREED_WEIGHTS), "coordinate_based")
         .otherwise("unweighted")
     )
-    symmetric = F.when(p["type"].isin("ATSP", "SOP"), False).when(F.col("matrix").isNotNull(), is_symmetric(F.col("matrix"))).when(source == "unweighted", None).otherwise(True)
+    symmetric = F.when(p["type"].isin("ATSP", "SOP"), False).when(F.col("matrix").isNotNull(), F.col("symmetric")).when(source == "unweighted", None).otherwise(True)
     flags = {"has_coordinates": "coords", "has_display_coords": "display_coords", "has_demands": "demands", "has_depots": "depots", "has_edges": "edges", "has_fixed_edges": "fixed_edges", "has_tours": "tours"}
-    return df.withColumn("metadata", F.struct(*((F.size(c) > 0).alias(n) for n, c in flags.items()), symmetric.alias("is_symmetric"), source.alias("weight_source")))
+    return df.withColumn("metadata", F.struct(*((F.size(c) > 0).alias(n) for n, c in flags.items()), symmetric.alias("is_symmetric"), source.alias("weight_source"))).drop("symmetric")

@@ -21,13 +21,13 @@ def ingest_stream(spark: SparkSession, root: str, store: str, checkpoint: str) -
 
     The checkpoint remembers which files were read. A batch that runs again
     upserts the same rows under the same ids, so the state is as after one run.
-    Failures are appended to store/failures.
+    Failures of a batch are one folder of store/failures, written whole each time.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         checked = validate(instances.parse(files.texts(batch)))
         after, failed = cat.ingest(cat.load(spark, store), checked)
         cat.save(after, store)
-        failed.write.mode("append").parquet(f"{store}/failures")
+        failed.write.mode("overwrite").parquet(f"{store}/failures/batch={number}")
 
     return stream_files(spark, root).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
