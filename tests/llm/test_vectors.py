@@ -100,3 +100,11 @@ def test_hadamard_keeps_lengths():
     x = np.array([[rng.gauss(0, 1) for _ in range(64)] for _ in range(5)])
     assert np.allclose(np.linalg.norm(vs.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
     assert np.allclose(vs.hadamard(vs.hadamard(x)), x)
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 0.5]), (2, [0.0, 0.5])]
+    docs = spark.createDataFrame([(i, v, 0, "") for i, v in rows], SCHEMA)
+    got = sorted(tuple(r) for r in vs.top_k(docs, vs.F.col("vec_id") == 0, 2).collect())
+    # the first row finds 1 and, by the smaller id, the other 0; the second finds both rows of 2
+    assert got == [(0, 1, 1, 65536), (0, 1, 2, 32768), (0, 2, 0, 0), (0, 2, 2, 32768)]
