@@ -60,6 +60,37 @@ def test_poisoned_documents(spark):
         assert any(message in e for e in found[i].errors), (message, found[i].errors)
 
 
+def test_faults_name_their_items(spark):
+    texts = [TSP.replace("3 1 1\nEOF", "3 1 x\nEOF"), TSP.replace("3 1 1", "2 1 1"), CVRP.replace("2 1 1", "2 1 1 1 1"), MATRIX.replace("3 0 4", "3 z 4"), CVRP.replace("\n-1\n", "\n"), TSP]
+    found = {i: [tuple(f) for f in r.faults] for i, r in parsed(spark, *texts).items()}
+    n, w, d = "NODE_COORD_SECTION", "EDGE_WEIGHT_SECTION", "DEPOT_SECTION"
+    assert found == {0: [(n, 4, "no number")], 1: [(n, 4, "node 2 again")], 2: [(n, 2, "wrong number of values")], 3: [(w, 5, "no number")], 4: [(d, 2, "no -1 at the end")], 5: []}
+
+
+def test_dialect(spark):
+    dialect = instances.Dialect(
+        types=frozenset({"DRONE"}),
+        sections={"RANGE_SECTION": ("array<double>", lambda lines: [float(x.split()[1]) for x in lines])},
+        headers={"BATTERY": ("int", int)},
+    )
+    mine = TIMES.replace("CVRPTW", "Drone (mine)").replace("EOF", "RANGE_SECTION\n1 2.5\n2 7\nEOF").replace("VEHICLES : 2", "BATTERY : 9")
+    texts = [mine, mine.replace("2.5", "far"), mine.replace(": 9", ": 3000000000"), TSP]
+    files_ = spark.createDataFrame(list(enumerate(texts)), "path int, text string")
+    rows = {r.path: r for r in validate.validate(instances.parse(files_, dialect=dialect), dialect.types).collect()}
+    assert rows[0].errors == [] and rows[0].problem_data.type == "DRONE" and rows[0].problem_data.time_windows == [[0.0, 10.0], [2.0, 5.5]]
+    assert (rows[0].range_section, rows[0].battery) == ([2.5, 7.0], 9)
+    assert [e.split(":")[0] for e in rows[1].errors] == ["ParseError"] and "RANGE_SECTION" in rows[1].errors[0] and rows[1].range_section is None
+    assert "BATTERY" in rows[2].errors[0] and rows[2].battery is None
+    assert (rows[3].errors, rows[3].range_section, rows[3].battery) == ([], None, None)
+    plain = validate.validate(instances.parse(files_)).where("path = 0").first().errors
+    assert any("unknown section RANGE" in e for e in plain) and any("TYPE is unknown" in e for e in plain)
+    for bad in ({"sections": {"TOUR_SECTION": ("int", len)}}, {"headers": {"CAPACITY": ("int", int)}}, {"sections": {"RANGE": ("int", len)}}, {"headers": {"MATRIX": ("int", int)}}):
+        with pytest.raises(ValueError):
+            instances.Dialect(**bad)
+    with pytest.raises(ValueError, match="path"):
+        instances.parse(files_, dialect=instances.Dialect(headers={"PATH": ("string", str)}))
+
+
 def test_null_text_and_split(spark):
     df = spark.createDataFrame([("a", None), ("b", TSP)], "path string, text string")
     good, bad = validate.split_valid(validate.validate(instances.parse(df)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from wayframe.functions.matrix import is_symmetric
 from wayframe.schemas import ALL_TYPES, DISPLAY_TYPES, EDGE_DATA_FORMATS, MATRIX_FORMATS, NEEDS_WEIGHTS, NODE_COORD_TYPES, THREED_WEIGHTS, TWOD_WEIGHTS, WEIGHT_SOURCES, WEIGHT_TYPES
 
 
-def rules() -> dict[str, Column]:
-    """Message to the condition under which it holds; a null condition is none."""
+def rules(types: Collection[str] = ()) -> dict[str, Column]:
+    """Message to the condition under which it holds; a null condition is none. types are allowed beside the known ones."""
     p = F.col("problem_data")
     n, kind, weight = p["dimension"], p["type"], F.upper(p["edge_weight_type"])
     size = F.size
@@ -29,7 +31,7 @@ def rules() -> dict[str, Column]:
     return {
         "NAME is missing": p["name"].isNull() | (F.trim(p["name"]) == ""),
         "TYPE is missing": kind.isNull(),
-        "TYPE is unknown": word(kind, ALL_TYPES),
+        "TYPE is unknown": word(kind, {*ALL_TYPES, *types}),
         "DIMENSION must be a positive number": n.isNull() | (n <= 0),
         "EDGE_WEIGHT_TYPE is unknown": word(weight, WEIGHT_TYPES),
         "EDGE_WEIGHT_TYPE is missing": kind.isin(*NEEDS_WEIGHTS) & weight.isNull(),
@@ -77,9 +79,9 @@ def _metadata_rules() -> dict[str, Column]:
     }
 
 
-def validate(parsed: DataFrame) -> DataFrame:
-    """Adds the messages of broken rules to errors, sorted."""
-    found = F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(f"ValidationError: {m}")) for m, c in rules().items())))
+def validate(parsed: DataFrame, types: Collection[str] = ()) -> DataFrame:
+    """Adds the messages of broken rules to errors, sorted; types are those of a dialect."""
+    found = F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(f"ValidationError: {m}")) for m, c in rules(types).items())))
     return parsed.withColumn("errors", F.array_sort(F.concat("errors", found)))
 
 

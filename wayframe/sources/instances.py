@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from wayframe.functions.matrix import ROWS_OF
-from wayframe.schemas import CORE_SECTIONS, CORE_TYPES, EXTENDED_SECTIONS, INT_HEADERS, MATRIX_FORMATS, NO_DIAGONAL, NUMBER_HEADERS, STRING_HEADERS, STRIPPED_SECTIONS, THREED_WEIGHTS, TWOD_WEIGHTS, canonical_type
+from wayframe.schemas import ALL_TYPES, CORE_SECTIONS, CORE_TYPES, EXTENDED_SECTIONS, INT_HEADERS, MATRIX_FORMATS, NO_DIAGONAL, NUMBER_HEADERS, STRING_HEADERS, STRIPPED_SECTIONS, THREED_WEIGHTS, TWOD_WEIGHTS, canonical_type
 from wayframe.session import ship
 
 NUMBER = re.compile(r"[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?", re.ASCII)
@@ -38,9 +40,11 @@ _DATA = (
 PARSED = (
     f"problem_data struct<{_DATA.replace(' string', ':string').replace(' int', ':int').replace(' double', ':double').replace(' array', ':array').replace(' boolean', ':boolean')}>, "
     "coords array<array<double>>, display_coords array<array<double>>, demands array<int>, depots array<int>, edges array<array<int>>, fixed_edges array<array<int>>, "
-    "tours array<struct<tour_id:int,nodes:array<int>>>, edge_weights struct<format:string,size:int,numbers:array<double>>, coord_ids array<int>, demand_ids array<int>, matrix array<array<int>>, symmetric boolean, errors array<string>"
+    "tours array<struct<tour_id:int,nodes:array<int>>>, edge_weights struct<format:string,size:int,numbers:array<double>>, coord_ids array<int>, demand_ids array<int>, matrix array<array<int>>, symmetric boolean, faults array<struct<section:string,item:int,reason:string>>, errors array<string>"
 )
 
+_COLUMNS = {"metadata", "errors", *re.findall(r"(?:^|, )(\w+) (?=array|struct|boolean)", PARSED)}
+
 
 def integer(word: str) -> int | None:
     value = int(word) if INTEGER.fullmatch(word) and len(word) < 12 else None
@@ -85,11 +89,58 @@ def tokenize(text: str) -> tuple[list[tuple[str, str]], list[tuple[str, list[str
     return headers, sections
 
 
+@dataclass(frozen=True)
+class Dialect:
+    """What a caller's files have beyond the format: types, and sections and headers with their decoders.
+
+    types are upper-case TYPE names; like a known type outside the core they have
+    the extended sections. A decoder is named by its keyword and given as (DDL
+    type, function): that of a section gets its lines, that of a header its value.
+    Their results go to one column each, named like the keyword in lower case;
+    a keyword a file doesn't have gives null, and a decoder that fails an error
+    of that file alone. Decoders are plain functions and run where the text is
+    decoded.
+    """
+
+    types: frozenset[str] = frozenset()
+    sections: dict[str, tuple[str, Callable[[list[str]], object]]] = field(default_factory=dict)
+    headers: dict[str, tuple[str, Callable[[str], object]]] = field(default_factory=dict)
+
+    def __post_init__(self):
+        known = {*CORE_SECTIONS, *EXTENDED_SECTIONS, *STRIPPED_SECTIONS, *STRING_HEADERS, *INT_HEADERS, *NUMBER_HEADERS}
+        names = [*self.sections, *self.headers]
+        if taken := sorted({n for n in names if n in known} | {n for n in self.columns() if n in _COLUMNS}):
+            raise ValueError(f"{', '.join(taken)} can't be given a decoder")
+        if len({n.lower() for n in names}) < len(names) or any(not n.endswith("_SECTION") for n in self.sections):
+            raise ValueError("keywords must differ, and those of sections end in _SECTION")
+
+    def columns(self) -> dict[str, str]:
+        return {name.lower(): kind for name, (kind, _) in (*self.sections.items(), *self.headers.items())}
+
+    def arrow(self) -> dict[str, pa.DataType]:
+        return {name: to_arrow_type(_parse_datatype_string(kind)) for name, kind in self.columns().items()}
+
+    def decode(self, head: dict[str, str], sections: dict[str, list[str]], errors: list[str], arrow: dict[str, pa.DataType]) -> dict:
+        out = {}
+        for found, decoders in ((sections, self.sections), (head, self.headers)):
+            for name, (_, function) in decoders.items():
+                out[name.lower()] = None
+                try:
+                    if name in found:
+                        value = function(found[name])
+                        pa.array([value], arrow[name.lower()])
+                        out[name.lower()] = value
+                except Exception as e:  # noqa: BLE001 a caller's decoder may raise anything
+                    errors.append(f"ParseError: {name} can't be read: {type(e).__name__}: {e}")
+        return out
+
+
 class _Decoder:
-    """Decodes sections; a section that can't be read adds one error and gives what could be."""
+    """Decodes sections; one that can't be read adds one error and gives what could be, and faults say at which items."""
 
     def __init__(self, sections: dict[str, list[str]], errors: list[str]):
         self.sections, self.errors = sections, errors
+        self.faults: list[dict] = []
 
     def words(self, name: str) -> list[str]:
         return [w for line in self.sections.get(name, ()) for w in line.split()]
@@ -98,13 +149,26 @@ class _Decoder:
         if not ok:
             self.errors.append(f"ParseError: {name} can't be read")
 
+    def fault(self, name: str, items: list, reason: str) -> None:
+        """An item (counted from 1) for each that is None."""
+        self.faults += [{"section": name, "item": i, "reason": reason} for i, x in enumerate(items, 1) if x is None]
+
     def indexed(self, name: str, decode: Callable, least: int, most: int) -> list[tuple[int, list]]:
         rows = []
         for line in self.sections.get(name, ()):
             first, *rest = line.split()
             rows.append((integer(first), [decode(w) for w in rest]))
         fine = [r for r in rows if r[0] is not None and None not in r[1] and least <= len(r[1]) <= most]
-        self.check(len(fine) == len(rows) == len({r[0] for r in rows}), name)
+        known = {r[0] for r in rows}
+        if not len(fine) == len(rows) == len(known):
+            self.check(False, name)
+            self.fault(name, [r[0] if None not in r[1] else None for r in rows], "no number")
+            self.fault(name, [r if least <= len(r[1]) <= most else None for r in rows], "wrong number of values")
+            unseen = known - {None}
+            for i, (node, _) in enumerate(rows, 1):
+                if node is not None and node not in unseen:
+                    self.faults.append({"section": name, "item": i, "reason": f"node {node} again"})
+                unseen.discard(node)
         return sorted(fine, key=lambda r: r[0])
 
     def ended(self, name: str) -> list[int]:
@@ -114,6 +178,9 @@ class _Decoder:
             return []
         values = [integer(w) for w in words[:-1] if words[-1] == "-1"]
         self.check(words[-1] == "-1" and None not in values, name)
+        self.fault(name, values, "no number")
+        if words[-1] != "-1":
+            self.fault(name, [*words, None], "no -1 at the end")
         return [v for v in values if v is not None]
 
     def pairs(self, name: str) -> list[list[int]]:
@@ -180,11 +247,15 @@ def dense(numbers: list[float], layout: str, n: int | None) -> np.ndarray | None
     return out
 
 
-def parse_text(text: str | None) -> dict:
-    """The parse contract of one document, with ids from 0 (backhauls and required_nodes keep the file's)."""
+def parse_text(text: str | None, dialect: Dialect | None = None, arrow: dict[str, pa.DataType] | None = None) -> dict:
+    """The parse contract of one document, with ids from 0 (backhauls and required_nodes keep the file's), and the dialect's columns (of Dialect.arrow())."""
+    dialect = dialect or Dialect()
     headers, found = tokenize(text or "")
     head, sections, errors = dict(headers), dict(found), []
-    extended = (kind := canonical_type(head.get("TYPE"))) is not None and kind not in CORE_TYPES
+    kind = canonical_type(head.get("TYPE"))
+    if kind is not None and kind not in ALL_TYPES and (own := kind.split("(")[0].strip().upper()) in dialect.types:
+        kind = own
+    extended = kind is not None and kind not in CORE_TYPES
     data: dict = {n.lower(): head.get(n) for n in STRING_HEADERS}
     data["type"] = kind
     for name in INT_HEADERS + NUMBER_HEADERS:
@@ -193,7 +264,7 @@ def parse_text(text: str | None) -> dict:
         data[key] = None if raw is None else (integer if name in INT_HEADERS else number)(raw)
         if raw is not None and data[key] is None:
             errors.append(f"ParseError: {name} is no number")
-    unknown = sections.keys() - {*CORE_SECTIONS, *EXTENDED_SECTIONS, *STRIPPED_SECTIONS}
+    unknown = sections.keys() - {*CORE_SECTIONS, *EXTENDED_SECTIONS, *STRIPPED_SECTIONS, *dialect.sections}
     errors += [f"ParseError: unknown section {n}" for n in sorted(unknown)]
     d = _Decoder(sections, errors)
     xy = d.indexed("NODE_COORD_SECTION", number, 2, 3)
@@ -201,6 +272,7 @@ def parse_text(text: str | None) -> dict:
     need = d.indexed("DEMAND_SECTION", integer, 1, 2)
     numbers = [number(w) for w in d.words("EDGE_WEIGHT_SECTION")]
     d.check(None not in numbers, "EDGE_WEIGHT_SECTION")
+    d.fault("EDGE_WEIGHT_SECTION", numbers, "no number")
     data["volume_demands"] = [{"id": i, "volume": v[1]} for i, v in need if len(v) > 1] or None
     data |= {
         "has_time_windows": "TIME_WINDOW_SECTION" in sections,
@@ -241,6 +313,8 @@ def parse_text(text: str | None) -> dict:
         "edge_weights": {"format": layout or None, "size": data["dimension"], "numbers": values} if explicit else None,
         "coord_ids": [i for i, _ in xy],
         "demand_ids": [i for i, _ in need],
+        **dialect.decode(head, sections, errors, arrow or {}),
+        "faults": d.faults,
         "errors": errors,
     }
 
@@ -281,9 +355,13 @@ def decode(files: DataFrame, function: Callable[[str | None], dict], schema: str
     return files.select(*(f.name for f in keep), text).mapInArrow(run, StructType([*keep, *made.fields]))
 
 
-def parse(files: DataFrame, text: str = "text") -> DataFrame:
-    """files with the parse contract, the dense matrix, metadata, and errors (`error_type: message`)."""
-    df = decode(files, parse_text, PARSED, text)
+def parse(files: DataFrame, text: str = "text", dialect: Dialect | None = None) -> DataFrame:
+    """files with the parse contract, the dense matrix, metadata, errors (`error_type: message`), faults (the items, from 1, of sections that can't be read) and the dialect's columns."""
+    if dialect and (taken := dialect.columns().keys() & {c.lower() for c in files.columns}):
+        raise ValueError(f"the files have columns named {', '.join(sorted(taken))}")
+    dialect = dialect or Dialect()
+    own = "".join(f", {name} {kind}" for name, kind in dialect.columns().items())
+    df = decode(files, partial(parse_text, dialect=dialect, arrow=dialect.arrow()), PARSED + own, text)
     p = F.col("problem_data")
     weight = F.upper(p["edge_weight_type"])
     source = (
