@@ -134,8 +134,8 @@ def signatures(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, text: str, nodes: DataFrame, ids: DataFrame, key: str, size: int) -> DataFrame:
-    """(node, set) of the nodes asked for, from the text of one document each."""
-    wanted = ids.join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")).groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    """(node, set) of the nodes asked for, from the text of one document each: that of the node's row in ids."""
+    wanted = ids.join(nodes, "node").groupBy("id").agg(F.collect_set("node").alias("nodes"))
     if wanted.count() <= BROADCAST_NODES:  # else both sides are shuffled by id
         wanted = F.broadcast(wanted)
 
@@ -241,11 +241,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     spark = docs.sparkSession
     marks, marks_path = materialize(signatures(docs, key, text, size), "signatures")
     known = marks.where("id is not null and node is not null")
-    reps, reps_path = materialize(known.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
+    reps, reps_path = materialize(known.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
     in_bands = reps.select("node", F.explode("bands").alias("band"))
     shared, shared_path = materialize(in_bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1").withColumn("m", F.col("n")), "bands")
     buckets, buckets_path = materialize(spread_join(in_bands, shared, ["band"], "n", "node"), "buckets")
-    ids = known.select("node", "id")
+    ids = reps.select("node", "id")
 
     first_pairs, first_path = materialize(buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "first-pairs")
     pivots, pivots_path = materialize(first_pairs.groupBy("a").agg(F.count("*").alias("n")).join(reps.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a"), "pivots")
@@ -264,12 +264,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         more, more_path = materialize(_open_links(rooted, open_, reps, docs, text, ids, key, size, share), "more")
         drop += [roots_path, more_path]
         roots, roots_path = materialize(components(links.union(more)), "roots")
-    drop_path(spark, reps_path, open_path, *drop, *paths)
-
-    placed = marks.select("id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.when(F.col("id").isNotNull(), F.coalesce("component", F.col("node"))))
-    placed, placed_path = materialize(placed.select("id", "n_shingles", "root"), "placed")
-    first, _ = materialize(placed.where("root is not null").groupBy("root").agg(F.min("id").alias("first"), F.count("*").alias("n")), "firsts")
-    drop_path(spark, marks_path, roots_path)
-    out = spread_join(placed, first, ["root"], "n", "id").select("id", "n_shingles", F.col("first").alias("component"))
-    out = out.union(placed.where("root is null").select("id", "n_shingles", F.col("id").alias("component")))
+    drop_path(spark, open_path, *drop, *paths)
+
+    # Nodes get their class first; a node's copies, like a class's nodes, may be any number.
+    placed = reps.select("node", "id", "n").join(roots, "node", "left").select("node", "id", "n", F.coalesce("component", F.col("node")).alias("root"))
+    first, first_path = materialize(placed.groupBy("root").agg(F.min("id").alias("component"), F.count("*").alias("m")), "firsts")
+    classes, _ = materialize(spread_join(placed, first, ["root"], "m", "node").select("node", "component", "n"), "classes")
+    drop_path(spark, reps_path, roots_path, first_path)
+    out = spread_join(known.select("id", "n_shingles", "node"), classes, ["node"], "n", "id").select("id", "n_shingles", "component")
+    out = out.union(marks.where("id is null or node is null").select("id", "n_shingles", F.col("id").alias("component")))
     return out.select(F.col("id").alias(key), "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
