@@ -26,7 +26,7 @@ def rules(types: Collection[str] = ()) -> dict[str, Column]:
     explicit, fmt = weight == "EXPLICIT", F.upper(p["edge_weight_format"])
     coord_type, display_type = F.upper(p["node_coord_type"]), F.upper(p["display_data_type"])
     functional = F.coalesce(fmt == "FUNCTION", F.lit(False))
-    numbers = F.coalesce(size(F.col("edge_weights")["numbers"]), F.lit(0))
+    numbers = F.coalesce(F.col("edge_weights")["count"], F.lit(0))
     cvrp = kind == "CVRP"
     return {
         "NAME is missing": p["name"].isNull() | (F.trim(p["name"]) == ""),
@@ -41,7 +41,7 @@ def rules(types: Collection[str] = ()) -> dict[str, Column]:
         "EXPLICIT needs EDGE_WEIGHT_FORMAT": explicit & fmt.isNull(),
         "EDGE_WEIGHT_FORMAT is unknown": word(fmt, {*MATRIX_FORMATS, "FUNCTION"}),
         "EXPLICIT needs EDGE_WEIGHT_SECTION": explicit & ~functional & (numbers == 0),
-        "EDGE_WEIGHT_SECTION doesn't fit its format": explicit & ~functional & (numbers > 0) & F.col("matrix").isNull(),
+        "EDGE_WEIGHT_SECTION doesn't fit its format": explicit & ~functional & (numbers > 0) & ~F.coalesce(F.col("edge_weights")["fits"], F.lit(False)),
         "NO_COORDS with coordinates": (coord_type == "NO_COORDS") & (size(coords) > 0),
         "NO_DISPLAY with display data": (display_type == "NO_DISPLAY") & (size("display_coords") > 0),
         "TWOD_DISPLAY needs DISPLAY_DATA_SECTION": (display_type == "TWOD_DISPLAY") & (size("display_coords") == 0),
