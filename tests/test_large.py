@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from test_instances import MATRIX, TSP
 
+from wayframe.operators import validate
 from wayframe.plans import registry
 from wayframe.sources import instances
 
@@ -29,7 +30,7 @@ def test_matrix_rows(spark):
 
 
 @TABLES
-@pytest.mark.parametrize("name", ["text_round_trip_matrix"])
+@pytest.mark.parametrize("name", ["text_round_trip_matrix", "text_summary"])
 def test_no_matrix_is_joined(spark, name):
     """A matrix beside a file was broadcast, as its size was estimated by that of the nations."""
     assert plan(registry.QUERIES[name](spark, SF)).count("Join") == 1
@@ -37,7 +38,7 @@ def test_no_matrix_is_joined(spark, name):
 
 @TABLES
 def test_matrix_leaves_the_decoder_by_rows(spark):
-    assert "matrix#" not in plan(registry.QUERIES["text_round_trip_matrix"](spark, SF))
+    assert "matrix#" not in plan(registry.QUERIES["text_round_trip_matrix", "text_summary"](spark, SF))
 
 
 def test_texts_are_decoded_in_groups(spark, monkeypatch):
@@ -45,3 +46,10 @@ def test_texts_are_decoded_in_groups(spark, monkeypatch):
     monkeypatch.setattr(instances, "GROUP_BYTES", 1)
     rows = {r.path: list(r.errors) for r in instances.parse(corpus(spark).unionByName(spark.createDataFrame([("n", None), ("e", "")], "path string, text string")).coalesce(1)).collect()}
     assert len(rows) == 9 and rows["0"] == [] and rows["5"][0].startswith("ParseError")
+
+
+def test_checked_without_matrices(spark):
+    """Matrices that nobody reads don't leave the decoder; errors, faults and metadata are the same."""
+    both = [{r.path: r for r in validate.validate(instances.parse(corpus(spark), matrices=m)).collect()} for m in (True, False)]
+    assert [[(list(r.errors), list(r.faults), r.metadata) for _, r in sorted(x.items())] for x in both][0] == [(list(r.errors), list(r.faults), r.metadata) for _, r in sorted(both[1].items())]
+    assert not any(r.matrix for r in both[1].values()) and both[1]["2"].edge_weights.count == 6
