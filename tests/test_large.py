@@ -30,7 +30,7 @@ def test_matrix_rows(spark):
 
 
 @TABLES
-@pytest.mark.parametrize("name", ["text_round_trip_matrix", "text_summary", "text_round_trip_edges"])
+@pytest.mark.parametrize("name", ["text_round_trip_matrix", "text_summary", "text_round_trip_edges", "text_round_trip_nodes"])
 def test_no_matrix_is_joined(spark, name):
     """A matrix beside a file was broadcast, as its size was estimated by that of the nations."""
     assert plan(registry.QUERIES[name](spark, SF)).count("Join") == 1
@@ -38,7 +38,7 @@ def test_no_matrix_is_joined(spark, name):
 
 @TABLES
 def test_matrix_leaves_the_decoder_by_rows(spark):
-    assert "matrix#" not in plan(registry.QUERIES["text_round_trip_matrix", "text_summary", "text_round_trip_edges"](spark, SF))
+    assert "matrix#" not in plan(registry.QUERIES["text_round_trip_matrix", "text_summary", "text_round_trip_edges", "text_round_trip_nodes"](spark, SF))
 
 
 def test_texts_are_decoded_in_groups(spark, monkeypatch):
