@@ -3,8 +3,10 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from test_instances import MATRIX, TSP
 
+from wayframe.functions import distance
 from wayframe.operators import validate
 from wayframe.plans import registry
 from wayframe.sources import instances
@@ -38,7 +40,7 @@ def test_no_matrix_is_joined(spark, name):
 
 @TABLES
 def test_matrix_leaves_the_decoder_by_rows(spark):
-    assert "matrix#" not in plan(registry.QUERIES["text_round_trip_matrix", "text_summary", "text_round_trip_edges", "text_round_trip_nodes"](spark, SF))
+    assert "matrix#" not in plan(registry.QUERIES["text_round_trip_matrix"](spark, SF))
 
 
 def test_texts_are_decoded_in_groups(spark, monkeypatch):
@@ -52,4 +54,14 @@ def test_checked_without_matrices(spark):
     """Matrices that nobody reads don't leave the decoder; errors, faults and metadata are the same."""
     both = [{r.path: r for r in validate.validate(instances.parse(corpus(spark), matrices=m)).collect()} for m in (True, False)]
     assert [[(list(r.errors), list(r.faults), r.metadata) for _, r in sorted(x.items())] for x in both][0] == [(list(r.errors), list(r.faults), r.metadata) for _, r in sorted(both[1].items())]
-    assert not any(r.matrix for r in both[1].values()) and both[1]["2"].edge_weights.count == 6
+    assert not any(r.matrix for r in both[1].values()) and both[1]["2"].edge_weights["count"] == 6
+
+
+@TABLES
+def test_a_tour_asks_for_its_cells(spark):
+    """The matrices were joined with the tours, and broadcast."""
+    assert "AS matrix" not in plan(registry.QUERIES["tour_costs"](spark, SF))
+    rows = spark.createDataFrame([([[0, 2, 1], [1, 0]], [[0, 1, 2], [3, 0, 4], [5, 6, 0]], None), ([[0, 1]], None, [[0.0, 0.0], [3.0, 4.0]])], "r array<array<int>>, matrix array<array<int>>, coords array<array<double>>")
+    r, m, xy = F.col("r"), F.col("matrix"), F.col("coords")
+    costs = [distance.routes_cost(r, xy, how, F.lit("EUC_2D")) for how in (m, lambda i, j: F.get(F.get(m, i), j))]
+    assert [tuple(x) for x in rows.select(*costs).collect()] == [(15.0, 15.0), (10.0, 10.0)]

@@ -149,11 +149,11 @@ def route_cost(route: Column, cost: Callable[[Column, Column], Column], depot: i
     return F.when(n > 0, F.aggregate(legs, F.lit(0.0), lambda s, x: s + x)).otherwise(F.lit(0.0))
 
 
-def routes_cost(routes: Column, coords: Column | None, matrix: Column | None, weight_type: str | Column | None, special: Distance | None = None, depot: int | None = None, rounded: bool = True, geo_mode: str = "spec") -> Column:
-    """Total cost of 0-based routes. A matrix goes before coordinates; null where there is neither."""
+def routes_cost(routes: Column, coords: Column | None, matrix: Column | Callable[[Column, Column], Column] | None, weight_type: str | Column | None, special: Distance | None = None, depot: int | None = None, rounded: bool = True, geo_mode: str = "spec") -> Column:
+    """Total cost of 0-based routes. A matrix goes before coordinates; null where there is neither. It may be given by its cells, as a function of (i, j)."""
     if isinstance(weight_type, str):
         weight_type = weight_type.upper()
-    by_matrix = lambda i, j: F.get(F.get(matrix, i), j)
+    by_matrix = matrix if not isinstance(matrix, Column) else lambda i, j: F.get(F.get(matrix, i), j)
 
     def by_coords(i: Column, j: Column) -> Column:
         a, b = F.get(coords, i), F.get(coords, j)
@@ -167,6 +167,8 @@ def routes_cost(routes: Column, coords: Column | None, matrix: Column | None, we
     out = F.lit(None).cast("double")
     if coords is not None and weight_type is not None and not (isinstance(weight_type, str) and weight_type == "EXPLICIT"):
         out = F.when(coords.isNotNull(), total(by_coords))
-    if matrix is not None:
+    if isinstance(matrix, Column):
         out = F.when(matrix.isNotNull(), total(by_matrix)).otherwise(out)
+    elif matrix is not None:
+        out = F.coalesce(total(by_matrix), out)
     return out
