@@ -8,7 +8,7 @@ from test_instances import MATRIX, TSP
 
 from wayframe.functions import distance
 from wayframe.operators import validate
-from wayframe.plans import registry
+from wayframe.plans import derived, registry
 from wayframe.sources import instances
 
 SF = "/root/testdata/sf0.001"
@@ -65,3 +65,15 @@ def test_a_tour_asks_for_its_cells(spark):
     r, m, xy = F.col("r"), F.col("matrix"), F.col("coords")
     costs = [distance.routes_cost(r, xy, how, F.lit("EUC_2D")) for how in (m, lambda i, j: F.get(F.get(m, i), j))]
     assert [tuple(x) for x in rows.select(*costs).collect()] == [(15.0, 15.0), (10.0, 10.0)]
+
+
+@TABLES
+def test_stored_without_moving_matrices(spark):
+    """Kept rows have no matrices; the stored table has them all the same."""
+    c = registry.stored_texts(spark, SF)
+    assert {r.matrix_format for r in c["edge_weight_matrices"].collect()} == {"FULL_MATRIX"}
+    names = {r.id: r.name for r in c["problems"].collect()}
+    stored = {names[r.problem_id]: r.matrix for r in c["edge_weight_matrices"].collect()}
+    base = derived.catalog(spark, SF)
+    known = base["edge_weight_matrices"].join(base["problems"], F.col("problem_id") == F.col("id")).select("name", "matrix")
+    assert stored == {r.name: r.matrix for r in known.collect()} and len(stored) == 10
