@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from test_instances import MATRIX, TSP
 
 from wayframe.functions import distance
-from wayframe.operators import validate
+from wayframe.operators import audit, queries, validate
+from wayframe.operators import catalog as cat
 from wayframe.plans import derived, registry
 from wayframe.sources import instances
 
@@ -60,7 +61,7 @@ def test_checked_without_matrices(spark):
 @TABLES
 def test_a_tour_asks_for_its_cells(spark):
     """The matrices were joined with the tours, and broadcast."""
-    assert "AS matrix" not in plan(registry.QUERIES["tour_costs"](spark, SF))
+    assert "AS matrix#" not in plan(registry.QUERIES["tour_costs"](spark, SF))
     rows = spark.createDataFrame([([[0, 2, 1], [1, 0]], [[0, 1, 2], [3, 0, 4], [5, 6, 0]], None), ([[0, 1]], None, [[0.0, 0.0], [3.0, 4.0]])], "r array<array<int>>, matrix array<array<int>>, coords array<array<double>>")
     r, m, xy = F.col("r"), F.col("matrix"), F.col("coords")
     costs = [distance.routes_cost(r, xy, how, F.lit("EUC_2D")) for how in (m, lambda i, j: F.get(F.get(m, i), j))]
@@ -77,3 +78,32 @@ def test_stored_without_moving_matrices(spark):
     base = derived.catalog(spark, SF)
     known = base["edge_weight_matrices"].join(base["problems"], F.col("problem_id") == F.col("id")).select("name", "matrix")
     assert stored == {r.name: r.matrix for r in known.collect()} and len(stored) == 10
+
+
+def rows_of(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+LARGE = {
+    "edge_stats": queries.edge_stats,
+}
+
+
+@TABLES
+@pytest.mark.parametrize("name", LARGE)
+def test_no_matrix_in_one_value(spark, name):
+    """Computed matrices are read by rows and cells, with the results of whole ones."""
+    assert "AS matrix#" not in plan(registry.QUERIES[name](spark, SF))
+    c = derived.catalog(spark, SF)
+    c = registry.seeded(c) if name in ("integrity_seeded", "matrix_dimension_audit") else c
+    assert rows_of(LARGE[name](c)) == rows_of(LARGE[name](cat.Catalog(spark, c.tables)))
+
+
+def test_computed_symmetry_and_ragged_rows(spark):
+    """A symmetric function, one that differs in a single cell, and rows of different lengths."""
+    rows = spark.createDataFrame([(1, False, i, 4) for i in range(4)] + [(2, False, 0, 3), (2, False, 1, 1)], "problem_id int, is_symmetric boolean, i int, length int")
+    for odd, known in ((99, True), (3, False)):
+        c = cat.ComputedCatalog(spark, {}, rows.where("problem_id = 1"), lambda i, j: i * j + F.when((i == odd) & (j == 2), 1).otherwise(0))
+        assert [tuple(r) for r in c.symmetry().collect()] == [(1, known)]
+    sizes = cat.ComputedCatalog(spark, {}, rows, lambda i, j: i * 10 + j).matrix_sizes(a=(1, 0), b=(1, 2))
+    assert sorted(tuple(r) for r in sizes.select("problem_id", "size", "first", "least", "most", "a", "b").collect()) == [(1, 4, 4, 4, 4, 10, 12), (2, 2, 3, 1, 3, 10, None)]
