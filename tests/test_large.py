@@ -86,6 +86,7 @@ def rows_of(df):
 
 LARGE = {
     "edge_stats": queries.edge_stats,
+    "integrity_clean": audit.integrity_failures,
 }
 
 
