@@ -88,6 +88,7 @@ LARGE = {
     "edge_stats": queries.edge_stats,
     "integrity_clean": audit.integrity_failures,
     "integrity_seeded": audit.integrity_failures,
+    "matrix_dimension_audit": queries.matrix_dimension_audit,
 }
 
 
