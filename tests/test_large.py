@@ -89,6 +89,7 @@ LARGE = {
     "integrity_clean": audit.integrity_failures,
     "integrity_seeded": audit.integrity_failures,
     "matrix_dimension_audit": queries.matrix_dimension_audit,
+    "matrix_listing": queries.matrix_listing,
 }
 
 
