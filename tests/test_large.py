@@ -90,6 +90,7 @@ LARGE = {
     "integrity_seeded": audit.integrity_failures,
     "matrix_dimension_audit": queries.matrix_dimension_audit,
     "matrix_listing": queries.matrix_listing,
+    "weight_histogram": queries.weight_histogram,
 }
 
 
