@@ -91,6 +91,7 @@ LARGE = {
     "matrix_dimension_audit": queries.matrix_dimension_audit,
     "matrix_listing": queries.matrix_listing,
     "weight_histogram": queries.weight_histogram,
+    "matrix_symmetry": lambda c: c.symmetry(),
 }
 
 
