@@ -1,7 +1,9 @@
 """Plans and results of what must hold for large matrices: none in one value, none broadcast."""
 
+import tracemalloc
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_instances import MATRIX, TSP
@@ -10,6 +12,7 @@ from wayframe.functions import distance
 from wayframe.operators import audit, queries, validate
 from wayframe.operators import catalog as cat
 from wayframe.plans import derived, registry
+from wayframe.schemas import MATRIX_FORMATS
 from wayframe.sources import instances
 
 SF = "/root/testdata/sf0.001"
@@ -113,3 +116,30 @@ def test_computed_symmetry_and_ragged_rows(spark):
         assert [tuple(r) for r in c.symmetry().collect()] == [(1, known)]
     sizes = cat.ComputedCatalog(spark, {}, rows, lambda i, j: i * 10 + j).matrix_sizes(a=(1, 0), b=(1, 2))
     assert sorted(tuple(r) for r in sizes.select("problem_id", "size", "first", "least", "most", "a", "b").collect()) == [(1, 4, 4, 4, 4, 10, 12), (2, 2, 3, 1, 3, 10, None)]
+
+
+def test_a_matrix_is_checked_in_the_room_of_its_numbers():
+    """Checked alone, a matrix took three times the room of its numbers, and its lines besides."""
+    n = 600
+    text = f"NAME : f\nTYPE : ATSP\nDIMENSION : {n}\nEDGE_WEIGHT_TYPE : EXPLICIT\nEDGE_WEIGHT_FORMAT : FULL_MATRIX\nEDGE_WEIGHT_SECTION\n" + "\n".join(" ".join(str((i + j) % 10) for j in range(n)) for i in range(n)) + "\nEOF"
+    tracemalloc.start()
+    row = instances.parse_text(text, matrices=False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert row["errors"] == [] and row["symmetric"] and row["edge_weights"]["count"] == n * n and row["edge_weights"]["fits"]
+    assert peak < 14 * n * n
+
+
+@pytest.mark.parametrize("layout", MATRIX_FORMATS)
+def test_matrix_in_place(layout, monkeypatch):
+    """The same matrix in the room of the numbers, a few cells at a time."""
+    monkeypatch.setattr(instances, "ROW_CELLS", 3)
+    for extra in ([], [7]):
+        count = {"FULL_MATRIX": 49}.get(layout, 28 if "DIAG" in layout else 21)
+        for odd in (0.4, 5e9, -2147483648.0):
+            numbers = np.array([*extra, odd, *(1.7 * k - 9 for k in range(count - 1))])
+            kept = numbers.copy()
+            whole = instances.dense(numbers, layout, 7)
+            assert (numbers == kept).all()
+            place = instances.dense(numbers, layout, 7, spare=True)
+            assert whole.dtype == place.dtype and (whole == place).all()
