@@ -143,3 +143,9 @@ def test_matrix_in_place(layout, monkeypatch):
             assert (numbers == kept).all()
             place = instances.dense(numbers, layout, 7, spare=True)
             assert whole.dtype == place.dtype and (whole == place).all()
+
+
+@TABLES
+def test_a_file_is_put_together_once(spark):
+    """The sections were joined of their lines, and then again to the file."""
+    assert plan(derived.instance_texts(spark, SF)).count("array_join(") == 1
