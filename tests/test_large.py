@@ -226,3 +226,11 @@ def test_files_are_written_in_pieces(spark):
     rows = spark.range(n).select(F.col("id").cast("int").alias("i")).select(derived.row_text(F.col("i"), F.lit(n)).alias("a"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: derived.weight(F.col("i"), j).cast("string")), " ").alias("b"))
     assert rows.where("a <> b").count() == 0
     assert "piece#" in plan(registry._parsed(spark, SF))
+
+
+@TABLES
+@pytest.mark.parametrize("name", ["text_round_trip_nodes"])
+def test_text_queries_read_pieces(spark, name):
+    """No file is put together: its matrix comes to the decoder a row at a time."""
+    found = plan(registry.QUERIES[name](spark, SF))
+    assert "piece#" in found and "array_join(transform(sequence(0, (dimension#" not in found
