@@ -229,7 +229,7 @@ def test_files_are_written_in_pieces(spark):
 
 
 @TABLES
-@pytest.mark.parametrize("name", ["text_round_trip_nodes", "text_round_trip_edges"])
+@pytest.mark.parametrize("name", ["text_round_trip_nodes", "text_round_trip_edges", "text_summary"])
 def test_text_queries_read_pieces(spark, name):
     """No file is put together: its matrix comes to the decoder a row at a time."""
     found = plan(registry.QUERIES[name](spark, SF))
